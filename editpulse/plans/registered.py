@@ -19,7 +19,7 @@ from editpulse.plans.warehouse import ALL, FolderWarehouse, relations
 from editpulse.session import new_work_dir
 from editpulse.sources import samples
 from editpulse.sources.calendar import dim_time_covering
-from editpulse.sources.envelopes import check_envelopes, parse_envelope, replay_envelopes
+from editpulse.sources.envelopes import check_envelopes, ingest_counters, parse_envelope, replay_envelopes, validate_envelopes
 from editpulse.sources.lookups import wiki_geo
 from editpulse.sources.navigation import read_clickstream
 from editpulse.sources.topics import read_edit_stream
@@ -134,7 +134,7 @@ def _validate_envelopes(spark, sf_dir):
 
 
 def _valid(spark, sf_dir):
-    return check_envelopes(_messages(spark, sf_dir)).where(F.col("reason").isNull())
+    return validate_envelopes(_messages(spark, sf_dir))[0]
 
 
 def _as_text(messages: DataFrame) -> DataFrame:
@@ -142,7 +142,7 @@ def _as_text(messages: DataFrame) -> DataFrame:
 
 
 def _ingest_counters(spark, sf_dir):
-    return check_envelopes(_messages(spark, sf_dir)).agg(*stream_publish.ingest_counters())
+    return check_envelopes(_messages(spark, sf_dir)).agg(*ingest_counters())
 
 
 def _publish_cap(spark, sf_dir):

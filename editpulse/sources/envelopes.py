@@ -100,6 +100,21 @@ class _Doc:
     def not_number(self, path: str) -> Column:
         return ~self.is_blank(path) & (self.kind(path) == "STRING")
 
+    def bad_types(self) -> Column:
+        """Some field has a type the edit model does not take."""
+        return (
+            self.not_text("title")
+            | (self.not_text("wiki") & ~self.is_blank("wiki"))
+            | self.not_text("comment")
+            | self.not_object("revision")
+            | self.not_object("length")
+            | self.not_integer("revision.new")
+            | self.not_integer("revision.old")
+            | (self.is_blank("revision.new") & ~self.is_blank("id") & self.integer("id").isNull())
+            | self.not_number("length.new")
+            | self.not_number("length.old")
+        )
+
 
 # Why an envelope is refused, in the order the rules are tried.
 REASONS = ("undecodable", "type", "missing", "timestamp", "editor", "field_type")
@@ -114,30 +129,24 @@ def check_envelopes(messages: DataFrame, value: str = "value") -> DataFrame:
     """
     kept = [c for c in messages.columns if c != value]
     doc = _Doc("_doc")
-    parsed = messages.select(
-        *kept,
-        F.col(value).cast("string").alias("value"),
-        F.try_parse_json(F.col(value).cast("string")).alias("_doc"),
-    )
     space = r"[\s\x1c-\x1f]"
-    editor = F.regexp_replace(doc.text_if("user"), rf"(?U)\A{space}+|{space}+\z", "")
-    rows = parsed.select(
+    text = F.col(value).cast("string")
+    parsed = messages.select(*kept, text.alias("value"), F.try_parse_json(text).alias("_doc"))
+    fields = parsed.select(
         *kept,
         "value",
-        "_doc",
-        F.coalesce(
-            F.nullif(doc.integer("revision.new"), F.lit(0)),
-            F.nullif(doc.integer("id"), F.lit(0)),
-            F.lit(0),
-        ).alias("edit_id"),
+        F.coalesce(F.schema_of_variant("_doc").startswith("OBJECT"), F.lit(False)).alias("_is_object"),
+        F.coalesce(doc.text_if("type").isin(*EDIT_TYPES), F.lit(False)).alias("_is_edit"),
+        ((doc.kind("namespace") == "VOID") | (doc.kind("title") == "VOID")).alias("_is_missing"),
+        doc.bad_types().alias("_bad_types"),
         doc.integer("revision.new").alias("rev_id"),
         doc.integer("revision.old").alias("parent_id"),
+        doc.integer("id").alias("_id"),
         _epoch_to_ts(doc.integer("timestamp")).alias("ts"),
         doc.text_if("title").alias("page_title"),
         doc.get("namespace", "int").alias("namespace"),
         F.coalesce(doc.text_if("wiki"), F.lit("")).alias("wiki_db"),
-        editor.alias("editor"),
-        is_ip_strict(editor).alias("is_anon"),
+        F.regexp_replace(doc.text_if("user"), rf"(?U)\A{space}+|{space}+\z", "").alias("editor"),
         (~doc.is_blank("bot")).alias("is_bot"),
         (~doc.is_blank("minor")).alias("is_minor"),
         F.when(
@@ -146,34 +155,53 @@ def check_envelopes(messages: DataFrame, value: str = "value") -> DataFrame:
         ).alias("bytes_changed"),
         doc.text_if("comment").alias("comment"),
     )
-    bad_field = (
-        F.col("namespace").isNull()
-        | doc.not_text("title")
-        | (doc.not_text("wiki") & ~doc.is_blank("wiki"))
-        | doc.not_text("comment")
-        | doc.not_object("revision")
-        | doc.not_object("length")
-        | doc.not_integer("revision.new")
-        | doc.not_integer("revision.old")
-        | (doc.is_blank("revision.new") & ~doc.is_blank("id") & doc.integer("id").isNull())
-        | doc.not_number("length.new")
-        | doc.not_number("length.old")
-    )
-    object_like = F.schema_of_variant(F.col("_doc")).startswith("OBJECT")
     reason = (
-        F.when(F.col("_doc").isNull() | ~object_like, "undecodable")
-        .when(~F.coalesce(doc.text_if("type").isin(*EDIT_TYPES), F.lit(False)), "type")
-        .when((doc.kind("namespace") == "VOID") | (doc.kind("title") == "VOID"), "missing")
+        F.when(~F.col("_is_object"), "undecodable")
+        .when(~F.col("_is_edit"), "type")
+        .when(F.col("_is_missing"), "missing")
         .when(F.col("ts").isNull(), "timestamp")
-        .when(F.coalesce(F.col("editor"), F.lit("")) == "", "editor")
-        .when(bad_field, "field_type")
+        .when(F.coalesce("editor", F.lit("")) == "", "editor")
+        .when(F.col("namespace").isNull() | F.col("_bad_types"), "field_type")
     )
-    return rows.withColumn("reason", reason).drop("_doc")
+    edit_id = F.coalesce(F.nullif("rev_id", F.lit(0)), F.nullif("_id", F.lit(0)), F.lit(0))
+    model = {
+        "edit_id": edit_id,
+        "is_anon": is_ip_strict(F.col("editor")),
+        "reason": reason,
+    }
+    names = (
+        "edit_id", "rev_id", "parent_id", "ts", "page_title", "namespace", "wiki_db", "editor",
+        "is_anon", "is_bot", "is_minor", "bytes_changed", "comment", "reason",
+    )
+    return fields.select(*kept, "value", *[model.get(n, F.col(n)).alias(n) for n in names])
+
+
+# Name of the observed metrics with the counters below.
+COUNTERS = "ingest"
+
+
+def ingest_counters() -> list[Column]:
+    """received, published and dropped, over the rows of ``check_envelopes``."""
+    refused = F.col("reason").isNotNull()
+    return [
+        F.count(F.lit(1)).alias("received"),
+        F.count_if(~refused).alias("published"),
+        F.count_if(refused).alias("dropped"),
+    ]
+
+
+def count_envelopes(messages: DataFrame, value: str = "value") -> DataFrame:
+    """Checked envelopes with the counters as observed metrics.
+
+    The metrics node also keeps filters on ``reason`` above the parsing, so each document is
+    looked at once.
+    """
+    return check_envelopes(messages, value).observe(COUNTERS, *ingest_counters())
 
 
 def validate_envelopes(messages: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
     """(good, rejected): model columns of valid edits, and refused messages with the reason."""
-    checked = check_envelopes(messages, value)
+    checked = count_envelopes(messages, value)
     good = checked.where(F.col("reason").isNull()).drop("reason")
     rejected = checked.where(F.col("reason").isNotNull()).select("value", "reason")
     return good, rejected

@@ -2,32 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from editpulse.operators.landing import publish_cap, to_keyed_messages
-from editpulse.sources.envelopes import check_envelopes
+from editpulse.sources.envelopes import COUNTERS, validate_envelopes
 from editpulse.streaming.run import LANDING_INTERVAL, start
 
-COUNTERS = "ingest"
-
-
-def ingest_counters() -> list[Column]:
-    """received, published and dropped, over the rows of ``check_envelopes``."""
-    refused = F.col("reason").isNotNull()
-    return [
-        F.count(F.lit(1)).alias("received"),
-        F.count_if(~refused).alias("published"),
-        F.count_if(refused).alias("dropped"),
-    ]
-
-
 def publishable(messages: DataFrame, cap: int = 0) -> DataFrame:
     """(key, value) of valid envelopes; the counters ride along as observed metrics."""
-    checked = check_envelopes(messages).observe(COUNTERS, *ingest_counters())
-    return publish_cap(to_keyed_messages(checked.where(F.col("reason").isNull())), cap)
+    good, _ = validate_envelopes(messages)
+    return publish_cap(to_keyed_messages(good), cap)
 
 
 class IngestCounterListener(StreamingQueryListener):
