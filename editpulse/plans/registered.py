@@ -16,7 +16,7 @@ from editpulse.operators.landing import enforce_landing, publish_cap, to_keyed_m
 from editpulse.plans import marts, serving
 from editpulse.plans.contracts import CONTRACTS, FRESHNESS
 from editpulse.plans.warehouse import ALL, FolderWarehouse, relations
-from editpulse.session import new_work_dir
+from editpulse.session import new_work_dir, tune
 from editpulse.sources import samples
 from editpulse.sources.calendar import dim_time_covering
 from editpulse.sources.envelopes import check_envelopes, ingest_counters, parse_envelope, replay_envelopes, validate_envelopes
@@ -49,9 +49,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> FolderWarehouse:
             {
                 "raw.stg_edit": lambda: samples.edits(spark, sf_dir),
                 "raw.stg_clickstream": lambda: samples.clickstream(spark, sf_dir),
-                "raw.messages": lambda: samples.messages(spark, sf_dir).select(
-                    F.lit(None).cast("binary").alias("key"), "value"
-                ),
+                "raw.messages": lambda: samples.messages(spark, sf_dir),
                 "raw.marks": lambda: samples.marks(spark, sf_dir),
             },
             as_of=AS_OF,
@@ -117,7 +115,8 @@ def _seed_if_absent(spark, sf_dir):
 
 
 def _messages(spark, sf_dir):
-    return samples.messages(spark, sf_dir).select("value")
+    """The derived envelopes as a topic keeps them."""
+    return warehouse(spark, sf_dir).table("raw.messages").select("event_id", "value")
 
 
 def _parse_envelope(spark, sf_dir):
@@ -130,7 +129,7 @@ def _envelope_replay(spark, sf_dir):
 
 
 def _validate_envelopes(spark, sf_dir):
-    return check_envelopes(samples.messages(spark, sf_dir)).drop("value", "variant")
+    return check_envelopes(_messages(spark, sf_dir)).drop("value")
 
 
 def _valid(spark, sf_dir):
@@ -375,8 +374,7 @@ def _zone_free(rows: DataFrame) -> DataFrame:
 
 def _registered(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return _zone_free(query(spark, sf_dir))
+        return _zone_free(query(tune(spark), sf_dir))
 
     return run
 

@@ -97,7 +97,7 @@ class FolderWarehouse(_Relations):
     ):
         self.spark, self.root, self.as_of = spark, root, as_of
         self._sources = sources
-        self._written: set[str] = set()
+        self._stored: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name.replace('.', '/')}"
@@ -110,15 +110,15 @@ class FolderWarehouse(_Relations):
         return super().derive(name)
 
     def table(self, name: str) -> DataFrame:
-        if name not in self._written:
+        if name not in self._stored:
             layout = layout_for(name)
             rows = arrange(self.derive(name), layout)
             writer = rows.write.mode("overwrite")
             if layout.partition_by:
                 writer = writer.partitionBy(*layout.partition_by)
             writer.parquet(self.path(name))
-            self._written.add(name)
-        return self.spark.read.parquet(self.path(name))
+            self._stored[name] = self.spark.read.schema(rows.schema).parquet(self.path(name))
+        return self._stored[name]
 
     def build(self) -> None:
         for name in ALL:

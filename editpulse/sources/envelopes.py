@@ -5,8 +5,11 @@ Every function is one narrow projection or filter, so all run unchanged on batch
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from editpulse import schemas
 from editpulse.functions.network import is_ip_strict, looks_like_ip_loose
@@ -28,34 +31,34 @@ def parse_envelope(messages: DataFrame, value: str = "value") -> DataFrame:
 
     NULL or missing lengths count as 0; the loose IP shapes decide ``is_anon``.
     """
+    # A generator over one decoded document: filters on its columns stay above it, so the text is
+    # parsed once and not again for every predicate.
     event = messages.select(
         F.col(value).cast("string").alias("raw_payload"),
-        decode_json(F.col(value), schemas.ENVELOPE).alias("e"),
-    ).where(
-        F.col("e.type").isin(*EDIT_TYPES) & F.col("e.title").isNotNull() & F.col("e.namespace").isNotNull()
+        F.inline(F.array(decode_json(F.col(value), schemas.ENVELOPE))),
+    )
+    edit_id = F.coalesce("revision.new", "id")
+    edits = event.where(
+        F.col("type").isin(*EDIT_TYPES)
+        & F.col("title").isNotNull()
+        & F.col("namespace").isNotNull()
+        & (edit_id > 0)
     )
-    user = F.col("e.user")
     columns = {
-        "edit_id": F.coalesce("e.revision.new", "e.id"),
-        "rev_id": F.col("e.revision.new"),
-        "parent_id": F.col("e.revision.old"),
-        "ts": _epoch_to_ts(F.col("e.timestamp")),
-        "page_title": F.col("e.title"),
-        "namespace": F.col("e.namespace"),
-        "wiki_db": F.col("e.wiki"),
-        "editor": user,
-        "is_anon": looks_like_ip_loose(user),
-        "is_bot": F.coalesce("e.bot", F.lit(False)),
-        "is_minor": F.coalesce("e.minor", F.lit(False)),
-        "bytes_changed": F.try_subtract(
-            F.coalesce("e.length.new", F.lit(0)), F.coalesce("e.length.old", F.lit(0))
-        ),
-        "comment": F.col("e.comment"),
-        "raw_payload": F.col("raw_payload"),
+        "edit_id": edit_id,
+        "rev_id": F.col("revision.new"),
+        "parent_id": F.col("revision.old"),
+        "ts": _epoch_to_ts(F.col("timestamp")),
+        "page_title": F.col("title"),
+        "wiki_db": F.col("wiki"),
+        "editor": F.col("user"),
+        "is_anon": looks_like_ip_loose(F.col("user")),
+        "is_bot": F.coalesce("bot", F.lit(False)),
+        "is_minor": F.coalesce("minor", F.lit(False)),
+        "bytes_changed": F.try_subtract(F.coalesce("length.new", F.lit(0)), F.coalesce("length.old", F.lit(0))),
         "ingested_at": F.current_timestamp(),
     }
-    rows = event.select(*[columns[name].alias(name) for name in schemas.RAW_EDIT.names])
-    return rows.where(F.col("edit_id") > 0)
+    return edits.select(*[columns.get(name, F.col(name)).alias(name) for name in schemas.RAW_EDIT.names])
 
 
 def replay_envelopes(raw_edits: DataFrame) -> DataFrame:
@@ -63,61 +66,38 @@ def replay_envelopes(raw_edits: DataFrame) -> DataFrame:
     return parse_envelope(raw_edits.where(F.col("raw_payload").isNotNull()), value="raw_payload")
 
 
-class _Doc:
-    """Typed and untyped access to one parsed JSON document (a VARIANT column)."""
-
-    def __init__(self, column: str):
-        self.column = column
-
-    def get(self, path: str, type_name: str) -> Column:
-        return F.try_variant_get(F.col(self.column), f"$.{path}", type_name)
-
-    def kind(self, path: str) -> Column:
-        """STRING, BIGINT, OBJECT<..>, ...; VOID when the field is null or missing."""
-        return F.coalesce(F.schema_of_variant(self.get(path, "variant")), F.lit("VOID"))
+# Every field as the text of its JSON value; objects stay JSON text. ``_bad`` is set for broken text.
+_AS_TEXT = T.StructType([T.StructField(name, T.StringType()) for name in (*schemas.ENVELOPE.names, "_bad")])
+_OLD_NEW = T.StructType([T.StructField("old", T.StringType()), T.StructField("new", T.StringType())])
+_BLANK = ("null", "false", "0", "-0", "0.0", "-0.0", "", "[]", "{}")
+_NAMES = ("title", "user", "wiki", "comment")
+_SPACE = r"[\s\x1c-\x1f]"
 
-    def is_blank(self, path: str) -> Column:
-        """Missing, null, false, zero or empty."""
-        text = F.coalesce(F.to_json(self.get(path, "variant")), F.lit("null"))
-        return text.isin("null", "false", "0", "-0", "0.0", "-0.0", '""', "[]", "{}")
-
-    def integer(self, path: str) -> Column:
-        """Whole-number reading of a number, boolean or numeric string, else NULL."""
-        return self.get(path, "bigint")
+# Why an envelope is refused, in the order the rules are tried.
+REASONS = ("undecodable", "type", "missing", "timestamp", "editor", "field_type")
 
-    def text_if(self, path: str) -> Column:
-        return F.when(self.kind(path) == "STRING", self.get(path, "string"))
 
-    def not_text(self, path: str) -> Column:
-        return ~self.kind(path).isin("STRING", "VOID")
+def _is_blank(text: Column) -> Column:
+    """Missing, null, false, zero or empty."""
+    return F.coalesce(text, F.lit("null")).isin(*_BLANK)
 
-    def not_integer(self, path: str) -> Column:
-        return (self.kind(path) != "VOID") & self.integer(path).isNull()
 
-    def not_object(self, path: str) -> Column:
-        return ~self.is_blank(path) & ~self.kind(path).startswith("OBJECT")
+def _integer(text: Column, kind: str = "bigint") -> Column:
+    """Whole part of a number, NULL for other text."""
+    return F.coalesce(text.try_cast(kind), text.try_cast("decimal(38,6)").try_cast(kind))
 
-    def not_number(self, path: str) -> Column:
-        return ~self.is_blank(path) & (self.kind(path) == "STRING")
 
-    def bad_types(self) -> Column:
-        """Some field has a type the edit model does not take."""
-        return (
-            self.not_text("title")
-            | (self.not_text("wiki") & ~self.is_blank("wiki"))
-            | self.not_text("comment")
-            | self.not_object("revision")
-            | self.not_object("length")
-            | self.not_integer("revision.new")
-            | self.not_integer("revision.old")
-            | (self.is_blank("revision.new") & ~self.is_blank("id") & self.integer("id").isNull())
-            | self.not_number("length.new")
-            | self.not_number("length.old")
-        )
+def _is_text(path: str) -> Column:
+    """The field is a JSON string, null or missing. Parses the document again."""
+    found = F.try_variant_get(F.try_parse_json("value"), f"$.{path}", "variant")
+    return F.coalesce(F.schema_of_variant(found), F.lit("VOID")).isin("STRING", "VOID")
 
 
-# Why an envelope is refused, in the order the rules are tried.
-REASONS = ("undecodable", "type", "missing", "timestamp", "editor", "field_type")
+def _all_names_text() -> Column:
+    """Titles and names are JSON strings. Only values spelled like a number, a truth value, a list
+    or an object can be anything else, so only those few are looked at closely."""
+    suspect = F.concat_ws("\n", *_NAMES).rlike(r"(?m)^(?:-?[0-9][0-9.eE+-]*|true|false|[\[{].*)$")
+    return F.when(suspect, reduce(Column.__and__, map(_is_text, _NAMES))).otherwise(True)
 
 
 def check_envelopes(messages: DataFrame, value: str = "value") -> DataFrame:
@@ -128,32 +108,48 @@ def check_envelopes(messages: DataFrame, value: str = "value") -> DataFrame:
     zero revision id falls through to the event id.
     """
     kept = [c for c in messages.columns if c != value]
-    doc = _Doc("_doc")
-    space = r"[\s\x1c-\x1f]"
     text = F.col(value).cast("string")
-    parsed = messages.select(*kept, text.alias("value"), F.try_parse_json(text).alias("_doc"))
-    fields = parsed.select(
+    decoded = F.from_json(text, _AS_TEXT, {"columnNameOfCorruptRecord": "_bad"})
+    fields = messages.select(*kept, text.alias("value"), F.inline(F.array(decoded)))
+    for name in ("revision", "length"):
+        fields = fields.withColumn(f"_{name}", F.from_json(name, _OLD_NEW))
+    is_object = F.col("_bad").isNull() & F.col("value").rlike(r"(?s)\A\s*\{.*\}\s*\z")
+    length_new, length_old = (F.col(f"_length.{side}") for side in ("new", "old"))
+    revision_new, revision_old = (F.col(f"_revision.{side}") for side in ("new", "old"))
+    parts = fields.select(
         *kept,
         "value",
-        F.coalesce(F.schema_of_variant("_doc").startswith("OBJECT"), F.lit(False)).alias("_is_object"),
-        F.coalesce(doc.text_if("type").isin(*EDIT_TYPES), F.lit(False)).alias("_is_edit"),
-        ((doc.kind("namespace") == "VOID") | (doc.kind("title") == "VOID")).alias("_is_missing"),
-        doc.bad_types().alias("_bad_types"),
-        doc.integer("revision.new").alias("rev_id"),
-        doc.integer("revision.old").alias("parent_id"),
-        doc.integer("id").alias("_id"),
-        _epoch_to_ts(doc.integer("timestamp")).alias("ts"),
-        doc.text_if("title").alias("page_title"),
-        doc.get("namespace", "int").alias("namespace"),
-        F.coalesce(doc.text_if("wiki"), F.lit("")).alias("wiki_db"),
-        F.regexp_replace(doc.text_if("user"), rf"(?U)\A{space}+|{space}+\z", "").alias("editor"),
-        (~doc.is_blank("bot")).alias("is_bot"),
-        (~doc.is_blank("minor")).alias("is_minor"),
+        F.coalesce(is_object, F.lit(False)).alias("_is_object"),
+        F.coalesce(F.col("type").isin(*EDIT_TYPES), F.lit(False)).alias("_is_edit"),
+        (F.col("namespace").isNull() | F.col("title").isNull()).alias("_is_missing"),
+        _integer(F.col("id")).alias("_id"),
+        _integer(revision_new).alias("rev_id"),
+        _integer(revision_old).alias("parent_id"),
+        _epoch_to_ts(_integer(F.col("timestamp"))).alias("ts"),
+        F.col("title").alias("page_title"),
+        _integer(F.col("namespace"), "int").alias("namespace"),
+        F.when(_is_blank(F.col("wiki")), "").otherwise(F.col("wiki")).alias("wiki_db"),
+        F.regexp_replace("user", rf"(?U)\A{_SPACE}+|{_SPACE}+\z", "").alias("editor"),
+        (~_is_blank(F.col("bot"))).alias("is_bot"),
+        (~_is_blank(F.col("minor"))).alias("is_minor"),
         F.when(
-            ~doc.is_blank("length"),
-            F.coalesce(doc.get("length.new", "int"), F.lit(0)) - F.coalesce(doc.get("length.old", "int"), F.lit(0)),
+            ~_is_blank(F.col("length")),
+            F.try_subtract(
+                F.coalesce(_integer(length_new, "int"), F.lit(0)), F.coalesce(_integer(length_old, "int"), F.lit(0))
+            ),
         ).alias("bytes_changed"),
-        doc.text_if("comment").alias("comment"),
+        "comment",
+        # Each part an object or blank, each id and length a whole number or blank.
+        reduce(
+            Column.__and__,
+            [
+                *[_is_blank(F.col(n)) | F.col(n).startswith("{") for n in ("revision", "length")],
+                *[revision.isNull() | _integer(revision).isNotNull() for revision in (revision_new, revision_old)],
+                *[_is_blank(side) | _integer(side, "int").isNotNull() for side in (length_new, length_old)],
+                ~_is_blank(revision_new) | _is_blank(F.col("id")) | _integer(F.col("id")).isNotNull(),
+                _all_names_text(),
+            ],
+        ).alias("_well_typed"),
     )
     reason = (
         F.when(~F.col("_is_object"), "undecodable")
@@ -161,11 +157,10 @@ def check_envelopes(messages: DataFrame, value: str = "value") -> DataFrame:
         .when(F.col("_is_missing"), "missing")
         .when(F.col("ts").isNull(), "timestamp")
         .when(F.coalesce("editor", F.lit("")) == "", "editor")
-        .when(F.col("namespace").isNull() | F.col("_bad_types"), "field_type")
+        .when(F.col("namespace").isNull() | ~F.col("_well_typed"), "field_type")
     )
-    edit_id = F.coalesce(F.nullif("rev_id", F.lit(0)), F.nullif("_id", F.lit(0)), F.lit(0))
-    model = {
-        "edit_id": edit_id,
+    derived = {
+        "edit_id": F.coalesce(F.nullif("rev_id", F.lit(0)), F.nullif("_id", F.lit(0)), F.lit(0)),
         "is_anon": is_ip_strict(F.col("editor")),
         "reason": reason,
     }
@@ -173,7 +168,7 @@ def check_envelopes(messages: DataFrame, value: str = "value") -> DataFrame:
         "edit_id", "rev_id", "parent_id", "ts", "page_title", "namespace", "wiki_db", "editor",
         "is_anon", "is_bot", "is_minor", "bytes_changed", "comment", "reason",
     )
-    return fields.select(*kept, "value", *[model.get(n, F.col(n)).alias(n) for n in names])
+    return parts.select(*kept, "value", *[derived.get(n, F.col(n)).alias(n) for n in names])
 
 
 # Name of the observed metrics with the counters below.

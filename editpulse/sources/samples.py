@@ -86,7 +86,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     bad_namespace = r"""CASE WHEN variant = 9 THEN regexp_replace(text, '"namespace":[0-9]+', '"namespace":"none"')
         ELSE text END"""
     return rows.selectExpr("edit_id AS event_id", "variant", value).selectExpr(
-        "event_id", "variant", f"cast({bad_namespace} AS binary) AS value"
+        "event_id", "variant", "cast(NULL AS binary) AS key", f"cast({bad_namespace} AS binary) AS value"
     )
 
 
