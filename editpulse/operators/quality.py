@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from editpulse.operators.combine import union_all
 from editpulse.operators.filters import AsOf, instant
 
 
@@ -74,46 +75,57 @@ class Contract:
         return len(self.not_null) + len(self.unique) + len(self.accepted) + len(self.relationships)
 
 
-def _row_checks(contract: Contract) -> list[tuple[str, str, Column]]:
-    """Checks that look at one row only: (check, column, is violated)."""
-    nulls = [("not_null", c, F.col(c).isNull()) for c in contract.not_null]
-    odd = [("accepted_values", c, ~F.col(c).isin(*values)) for c, values in contract.accepted.items()]
-    return nulls + odd
+    def declared(self) -> list[tuple[str, str]]:
+        """(check, column) of every check."""
+        return [
+            *[("not_null", c) for c in self.not_null],
+            *[("unique", c) for c in self.unique],
+            *[("accepted_values", c) for c in self.accepted],
+            *[("relationships", c) for c in self.relationships],
+        ]
 
 
-def _key_violations(violations: DataFrame) -> DataFrame:
-    return violations.agg(F.count(F.lit(1)).alias("violations"))
+def _labelled(rows: DataFrame, relation: str, check: str, column: str, n: Column) -> DataFrame:
+    labels = (F.lit(text).alias(name) for name, text in zip(("relation", "check", "column"), (relation, check, column)))
+    return rows.select(*labels, n.cast("bigint").alias("violations"))
 
 
-def check_contract(name: str, contract: Contract, relations: Mapping[str, DataFrame]) -> DataFrame:
-    """(relation, check, column, violations) for every check of one relation.
-
-    All single-row checks share one scan with one aggregation. Uniqueness and relationships
-    count keys and are combined before their shuffle.
-    """
+def _violations(name: str, contract: Contract, relations: Mapping[str, DataFrame]) -> list[DataFrame]:
+    """Labelled counts that add up to the violations of one relation; nothing for checks that hold."""
     rows = relations[name]
+    bad = {("not_null", c): F.col(c).isNull() for c in contract.not_null}
+    bad |= {("accepted_values", c): ~F.col(c).isin(*values) for c, values in contract.accepted.items()}
     parts: list[DataFrame] = []
-    checks = _row_checks(contract)
-    if checks:
-        counts = rows.agg(*[F.count_if(bad).alias(f"_{i}") for i, (_, _, bad) in enumerate(checks)])
-        labelled = F.array(
-            *[
-                F.struct(F.lit(check).alias("check"), F.lit(column).alias("column"), F.col(f"_{i}").alias("violations"))
-                for i, (check, column, _) in enumerate(checks)
-            ]
-        )
-        parts.append(counts.select(F.inline(labelled)))
+    if bad:
+        # One scan for all checks that look at a single row; only offending rows leave it.
+        marks = [
+            F.struct(
+                F.lit(name).alias("relation"),
+                F.lit(check).alias("check"),
+                F.lit(column).alias("column"),
+                F.when(is_bad, 1).cast("bigint").alias("violations"),
+            )
+            for (check, column), is_bad in bad.items()
+        ]
+        offending = rows.where(reduce(Column.__or__, bad.values()))
+        parts.append(offending.select(F.inline(F.array(*marks))))
     for column in contract.unique:
-        found = _key_violations(expect_unique(rows, column))
-        parts.append(found.select(F.lit("unique").alias("check"), F.lit(column).alias("column"), "violations"))
+        parts.append(_labelled(expect_unique(rows, column), name, "unique", column, F.lit(1)))
     for column, (parent, parent_column) in contract.relationships.items():
-        found = _key_violations(expect_relationships(rows, column, relations[parent], parent_column))
-        parts.append(found.select(F.lit("relationships").alias("check"), F.lit(column).alias("column"), "violations"))
-    result = reduce(DataFrame.unionByName, parts)
-    return result.select(F.lit(name).alias("relation"), "check", "column", "violations")
+        orphans = expect_relationships(rows, column, relations[parent], parent_column)
+        parts.append(_labelled(orphans, name, "relationships", column, F.lit(1)))
+    return parts
 
 
 def run_contracts(contracts: Mapping[str, Contract], relations: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per declared check of every relation, with the number of violations."""
-    checked = [check_contract(name, contract, relations) for name, contract in contracts.items()]
-    return reduce(DataFrame.unionByName, checked)
+    """(relation, check, column, violations), one row per declared check.
+
+    Violations are offending rows for not_null and accepted_values, offending keys for unique and
+    relationships. All parts are summed by one final aggregation.
+    """
+    declared = [(name, check, column, 0) for name, c in contracts.items() for check, column in c.declared()]
+    spark = next(iter(relations.values())).sparkSession
+    schema = "relation STRING, `check` STRING, `column` STRING, violations BIGINT"
+    parts = [part for name, contract in contracts.items() for part in _violations(name, contract, relations)]
+    counted = union_all([spark.createDataFrame(declared, schema), *parts])
+    return counted.groupBy("relation", "check", "column").agg(F.sum("violations").alias("violations"))

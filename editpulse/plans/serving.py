@@ -7,13 +7,13 @@ order, so it is the same on every run.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from editpulse.functions import labels
 from editpulse.functions.edits import minute_of
+from editpulse.operators.combine import union_all
 from editpulse.operators.filters import AsOf, back, date_floor, editor_filter, live_filter, previous_filter
 
 def _count() -> Column:
@@ -306,4 +306,4 @@ def warehouse_health(relations: Mapping[str, DataFrame | None], latest_of: Mappi
             continue
         latest = F.max(latest_of[name]).alias("latest") if name in latest_of else F.max(never).alias("latest")
         parts.append(rows.agg(_count().alias("n_rows"), latest).select(label, "n_rows", "latest"))
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(parts)
