@@ -11,6 +11,9 @@ from editpulse.session import new_work_dir
 
 # Copies of one row written out by one task, and by one step of a large group of copies.
 _COPIES_PER_STEP = 100_000
+# A group with more rows than this is not shuffled to one task, but to as many as there are parts.
+_HOT_ROWS = 1_000_000
+_HOT_PARTS = 4096
 
 
 def _write_out_copies(counted: DataFrame, copies: str, copy_no: str, step: int) -> DataFrame:
@@ -72,14 +75,15 @@ def rank_by_count(
     rank: str,
     dense_rank: str,
     spread_by: str,
-    spread: int = 16,
+    hot_rows: int = _HOT_ROWS,
 ) -> DataFrame:
     """RANK by ``count`` (descending) within ``outer`` and DENSE_RANK within ``outer + inner``.
 
     A rank depends only on how many rows have a higher count, so it is computed on the histogram
-    of counts, which is small: n rows with d distinct counts need at least d*d/2 edits. The
-    ranks go back to the rows by an equi-join; ``spread_by`` (hashed into ``spread`` parts) keeps
-    the many rows with count 1 of a busy group from meeting in one task.
+    of counts, which is small: d distinct counts need at least d*d/2 edits. The ranks go back to
+    the rows by an equi-join on (outer, inner, count). Combinations with more than ``hot_rows``
+    rows get theirs from a broadcast instead (there are at most all rows / hot_rows of them), and
+    are spread by the hash of ``spread_by`` over the shuffle of the join they do not need.
     """
     keys = [*outer, *inner, count]
     histogram = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
@@ -87,12 +91,18 @@ def rank_by_count(
     within = Window.partitionBy(*outer, *inner).orderBy(F.desc(count))
     ranks = histogram.select(
         *keys,
-        (F.coalesce(F.sum("_rows").over(higher), F.lit(0)) + 1).alias(rank),
-        F.dense_rank().over(within).cast("bigint").alias(dense_rank),
+        "_rows",
+        F.struct(
+            (F.coalesce(F.sum("_rows").over(higher), F.lit(0)) + 1).alias(rank),
+            F.dense_rank().over(within).cast("bigint").alias(dense_rank),
+        ).alias("_ranks"),
     )
-    ranks = ranks.withColumn("_spread", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-    salted = rows.withColumn("_spread", F.pmod(F.xxhash64(spread_by), F.lit(spread)).cast("int"))
-    return salted.join(ranks, [*keys, "_spread"]).select(*rows.columns, rank, dense_rank)
+    hot = ranks.where(F.col("_rows") > hot_rows).select(*keys, F.col("_ranks").alias("_hot"))
+    usual = ranks.where(F.col("_rows") <= hot_rows).select(*keys, F.lit(0).alias("_part"), "_ranks")
+    part = F.when(F.col("_hot").isNull(), 0).otherwise(F.pmod(F.xxhash64(spread_by), F.lit(_HOT_PARTS)) + 1)
+    marked = rows.join(F.broadcast(hot), keys, "left").withColumn("_part", part.cast("int"))
+    found = marked.join(usual, [*keys, "_part"], "left").withColumn("_ranks", F.coalesce("_hot", "_ranks"))
+    return found.select(*rows.columns, f"_ranks.{rank}", f"_ranks.{dense_rank}")
 
 
 def latest_per_key(rows: DataFrame, key: Sequence[str], newest_by: Sequence[str]) -> DataFrame:

@@ -36,7 +36,7 @@ def edits_per_minute(fact_edit: DataFrame, include_bots: bool) -> DataFrame:
     return articles.groupBy("minute_bucket", "wiki_id", "page_id").agg(F.count(F.lit(1)).alias("edit_count"))
 
 
-def rank_minutes(named_counts: DataFrame, spread: int = 16) -> DataFrame:
+def rank_minutes(named_counts: DataFrame) -> DataFrame:
     """rank_in_minute over all wikis, rank_in_wiki_minute (dense) within a wiki."""
     return rank_by_count(
         named_counts,
@@ -46,7 +46,6 @@ def rank_minutes(named_counts: DataFrame, spread: int = 16) -> DataFrame:
         rank="rank_in_minute",
         dense_rank="rank_in_wiki_minute",
         spread_by="page_id",
-        spread=spread,
     )
 
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from editpulse import schemas
-from editpulse.functions.keys import article_key
 from editpulse.operators import dims, facts, quality, staging, upsert
 from editpulse.operators.landing import enforce_landing, publish_cap, to_keyed_messages
 from editpulse.plans import marts, serving
@@ -177,9 +176,9 @@ def _expect_unique(spark, sf_dir):
 
 def _expect_relationships(spark, sf_dir):
     """Navigation targets that were never edited."""
-    targets = _stg_clicks(spark, sf_dir).select(article_key(F.col("wiki_db"), F.col("target")).alias("target_page_id"))
-    edited = facts.fact_edit(_stg(spark, sf_dir)).select("page_id").distinct()
-    return quality.expect_relationships(targets, "target_page_id", edited, "page_id")
+    stored = warehouse(spark, sf_dir)
+    edited = stored.table("core.fact_edit").select("page_id").distinct()
+    return quality.expect_relationships(stored.table("core.fact_clickstream"), "target_page_id", edited, "page_id")
 
 
 def _freshness(spark, sf_dir):

@@ -28,6 +28,8 @@ class Layout:
     partition_by: tuple[str, ...] = ()
     derived: Mapping[str, str] | None = None  # partition column -> SQL expression
     sort_by: tuple[str, ...] = ()
+    # False where the rows already come range-split in a fitting order.
+    split: bool = True
 
 
 LAYOUTS: dict[str, Layout] = {
@@ -42,7 +44,7 @@ LAYOUTS: dict[str, Layout] = {
     "core.dim_page": Layout(sort_by=("page_id",)),
     "core.dim_editor": Layout(sort_by=("editor_id",)),
     "core.fact_edit": Layout(("edit_date",), {"edit_date": "to_date(ts)"}, ("page_id", "ts", "edit_id")),
-    "core.fact_clickstream": Layout(("wiki_id", "dump_month"), None, ("target_page_id", "fc_id")),
+    "core.fact_clickstream": Layout(("wiki_id", "dump_month"), None, ("target_page_id", "fc_id"), split=False),
     "marts.trending_per_minute": Layout(sort_by=("minute_bucket", "rank_in_minute", "page_id")),
     "marts.edit_velocity": Layout(sort_by=("minute_bucket", "page_id")),
     "marts.vandalism_candidates": Layout(sort_by=("window_start", "page_id")),
@@ -64,7 +66,9 @@ def arrange(rows: DataFrame, layout: Layout) -> DataFrame:
     order = [*layout.partition_by, *layout.sort_by]
     if not layout.sort_by:
         return rows
-    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    if layout.split:
+        rows = rows.repartitionByRange(*order)
+    return rows.sortWithinPartitions(*order)
 
 
 def create_namespaces(spark: SparkSession, location: str | None = None, prefix: str = "") -> None:
