@@ -98,7 +98,9 @@ def rank_by_count(
         ).alias("_ranks"),
     )
     hot = ranks.where(F.col("_rows") > hot_rows).select(*keys, F.col("_ranks").alias("_hot"))
-    usual = ranks.where(F.col("_rows") <= hot_rows).select(*keys, F.lit(0).alias("_part"), "_ranks")
+    # A hot combination has its ranks in part -1, where no row looks for them.
+    home = F.when(F.col("_rows") > hot_rows, -1).otherwise(0)
+    usual = ranks.select(*keys, home.alias("_part"), "_ranks")
     part = F.when(F.col("_hot").isNull(), 0).otherwise(F.pmod(F.xxhash64(spread_by), F.lit(_HOT_PARTS)) + 1)
     marked = rows.join(F.broadcast(hot), keys, "left").withColumn("_part", part.cast("int"))
     found = marked.join(usual, [*keys, "_part"], "left").withColumn("_ranks", F.coalesce("_hot", "_ranks"))
