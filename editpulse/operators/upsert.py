@@ -83,13 +83,15 @@ def incremental_upsert(
     touched = {r[0] for r in new.select(partition).distinct().collect()} | set(replaced)
     if not touched:
         return
-    merged = replace_by_key(target.where(F.col(partition).isin(*touched)), new, key)
+    in_touched = F.coalesce(F.col(partition).isin(*touched), F.lit(None in touched))
+    merged = replace_by_key(target.where(in_touched), new, key)
     merged.write.partitionBy(partition).parquet(f"{stage}/merged")
     staged = spark.read.schema(merged.schema).parquet(f"{stage}/merged")
     remaining = {r[0] for r in staged.select(partition).distinct().collect()}
     overwrite_partitions(spark, table, staged)
-    for date in sorted(touched - remaining):
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition} = DATE '{date}')")
+    for date in touched - remaining:
+        value = "NULL" if date is None else f"DATE '{date}'"
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition} = {value})")
 
 
 def load_incrementally(spark: SparkSession, table: str, fact: DataFrame, key: str = "edit_id") -> None:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +13,7 @@ from editpulse.operators import dims, facts, quality, staging, upsert
 from editpulse.operators.landing import enforce_landing, publish_cap, to_keyed_messages
 from editpulse.plans import marts, serving
 from editpulse.plans.contracts import CONTRACTS, FRESHNESS
-from editpulse.plans.warehouse import ALL, FolderWarehouse, relations
+from editpulse.plans.warehouse import FolderWarehouse, relations
 from editpulse.session import new_work_dir, tune
 from editpulse.sources import samples
 from editpulse.sources.calendar import dim_time_covering

@@ -73,9 +73,6 @@ _BLANK = ("null", "false", "0", "-0", "0.0", "-0.0", "", "[]", "{}")
 _NAMES = ("title", "user", "wiki", "comment")
 _SPACE = r"[\s\x1c-\x1f]"
 
-# Why an envelope is refused, in the order the rules are tried.
-REASONS = ("undecodable", "type", "missing", "timestamp", "editor", "field_type")
-
 
 def _is_blank(text: Column) -> Column:
     """Missing, null, false, zero or empty."""
@@ -106,6 +103,9 @@ def check_envelopes(messages: DataFrame, value: str = "value") -> DataFrame:
     Differs from :func:`parse_envelope` where publishing is stricter than landing: IPs must be
     valid, the editor is trimmed and must not be empty, an absent length gives NULL bytes, and a
     zero revision id falls through to the event id.
+
+    The reason is the first rule that fails: undecodable, type, missing (title or namespace),
+    timestamp, editor, field_type. Flags and numbers given as JSON text count by their text.
     """
     kept = [c for c in messages.columns if c != value]
     text = F.col(value).cast("string")

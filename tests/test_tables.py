@@ -11,6 +11,7 @@ from build import at, edit, edits, navigations
 from pyspark.sql import functions as F
 
 from editpulse.operators import quality
+from editpulse.operators.upsert import incremental_upsert
 from editpulse.plans import serving
 from editpulse.plans.contracts import CONTRACTS
 from editpulse.plans.warehouse import ALL, CatalogWarehouse, relations
@@ -74,7 +75,7 @@ def test_freshness(spark):
 
 def fact(warehouse):
     rows = warehouse.table("core.fact_edit").select("edit_id", "bytes_changed", F.col("edit_date").cast("string"))
-    return sorted(tuple(r) for r in rows.collect())
+    return sorted((tuple(r) for r in rows.collect()), key=repr)
 
 
 def land(spark, warehouse, *rows):
@@ -100,9 +101,26 @@ def test_incremental_load(spark, warehouse):
     assert [r[0] for r in dates] == ["edit_date=2026-04-01"]
 
 
-def test_new_columns_are_appended(spark, warehouse):
-    from editpulse.operators.upsert import incremental_upsert
+def test_rows_without_a_date_are_kept(spark, warehouse):
+    name = warehouse.name("core.fact_edit")
+
+    def undated(edit_id, bytes_changed):
+        row = spark.table(name).where("edit_id = 1").withColumns({"edit_id": F.lit(edit_id).cast("bigint")})
+        return row.withColumns(
+            {"bytes_changed": F.lit(bytes_changed), "ts": F.lit(None).cast("timestamp"), "edit_date": F.lit(None).cast("date")}
+        )
 
+    incremental_upsert(spark, name, undated(50, 1))
+    incremental_upsert(spark, name, undated(51, 2))
+    assert {r[0] for r in fact(warehouse)} == {1, 2, 3, 4, 50, 51}
+    # Both get a date: the undated partition is gone.
+    dated = spark.table(name).where("edit_id > 49").withColumn("edit_date", F.lit("2026-04-03").cast("date"))
+    incremental_upsert(spark, name, dated)
+    rows = fact(warehouse)
+    assert len(rows) == 6 and (50, 1, "2026-04-03") in rows and (51, 2, "2026-04-03") in rows
+
+
+def test_new_columns_are_appended(spark, warehouse):
     name = warehouse.name("core.fact_edit")
     for _ in range(2):
         incremental_upsert(spark, name, spark.table(name).where("edit_id = 4").withColumn("note", F.lit("n")))
