@@ -6,10 +6,11 @@ import pytest
 from compare import connect, difference
 
 import __spark_entry__ as entry_points
+from editpulse.plans import oracles, registered
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = registered.queries()
+SQL = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +20,7 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
