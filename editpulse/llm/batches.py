@@ -29,8 +29,18 @@ class Words(NamedTuple):
 
 
 def texts_of(batch: pa.RecordBatch, column: str) -> pa.Array:
-    """A text column without nulls (null: empty) whose offsets have 64 bits."""
-    return pc.fill_null(batch.column(column), "").cast(pa.large_string())
+    """A text column without nulls (null: empty), with 64-bit offsets from 0.
+
+    Offsets are moved here because some Arrow kernels read those of a slice as if it were whole.
+    """
+    texts = pc.fill_null(batch.column(column), "")
+    if not len(texts):
+        return pa.array([], pa.large_string())
+    _, offsets, data = texts.buffers()
+    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    ends = np.frombuffer(offsets, kind)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    own = (data or pa.py_buffer(b"")).slice(int(ends[0]), int(ends[-1] - ends[0]))
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(ends - ends[0]), own)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -17,6 +17,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from editpulse.llm import decontaminate, minhash, ngram_join, packing, paragraph_dedup, pseudonyms, queries, quality_ledger, sharding, toxicity
 from editpulse.llm import token_files, tokenizing, url_lists
+from editpulse.llm.batches import slices, texts_of, words
 from editpulse.llm.components import components
 from editpulse.llm.tables import table
 from editpulse.session import new_work_dir
@@ -81,6 +82,18 @@ def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
 
+def test_slices_of_a_batch(texts):
+    batch = pa.RecordBatch.from_arrays([pa.array(texts * 3)], names=["text"])
+    got = []
+    for part in slices(iter([batch.slice(2), batch.slice(0, 0)]), "text", 1500):
+        own = texts_of(part, "text")
+        own.validate(full=True)
+        split = words(own)
+        vocabulary = split.vocabulary.to_pylist()
+        got += [[vocabulary[c] for c in split.codes[a:b]] for a, b in zip(split.offsets[:-1], split.offsets[1:])]
+    assert got == [WORD.findall(t or "") for t in (texts * 3)[2:]]
+
+
 def test_word_by_word_encoding_is_exact(texts):
     rng = random.Random(3)
     alphabet = "aAbé ñÉß \n\t\r\x0b\x0c\x1c  ΣσİiÍ'`´.,!?0123٣ⅫǄſﬀ漢字<|endoftext|>😀‍"
