@@ -73,9 +73,11 @@ def shingles(text):
     return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
 
 
+WHOLE = Tokenizer.from_file(TOKENIZER)
+
+
 def encoded(text, end):
-    tokenizer = Tokenizer.from_file(TOKENIZER)
-    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, end]
+    return [*WHOLE.encode(text or "", add_special_tokens=False).ids, end]
 
 
 def crc(ids):
