@@ -82,7 +82,7 @@ def rank_by_count(
     A rank depends only on how many rows have a higher count, so it is computed on the histogram
     of counts, which is small: d distinct counts need at least d*d/2 edits. The ranks go back to
     the rows by an equi-join on (outer, inner, count). Combinations with more than ``hot_rows``
-    rows get theirs from a broadcast instead (there are at most all rows / hot_rows of them), and
+    rows get theirs from a table of their own (Spark broadcasts it where its size allows), and
     are spread by the hash of ``spread_by`` over the shuffle of the join they do not need.
     """
     keys = [*outer, *inner, count]
@@ -102,7 +102,7 @@ def rank_by_count(
     home = F.when(F.col("_rows") > hot_rows, -1).otherwise(0)
     usual = ranks.select(*keys, home.alias("_part"), "_ranks")
     part = F.when(F.col("_hot").isNull(), 0).otherwise(F.pmod(F.xxhash64(spread_by), F.lit(_HOT_PARTS)) + 1)
-    marked = rows.join(F.broadcast(hot), keys, "left").withColumn("_part", part.cast("int"))
+    marked = rows.join(hot, keys, "left").withColumn("_part", part.cast("int"))
     found = marked.join(usual, [*keys, "_part"], "left").withColumn("_ranks", F.coalesce("_hot", "_ranks"))
     return found.select(*rows.columns, f"_ranks.{rank}", f"_ranks.{dense_rank}")
 

@@ -229,7 +229,10 @@ def _stream_trending(spark, sf_dir):
     work = new_work_dir(spark, "stream")
     write = numbered_batches(f"{work}/rows", stream_marts.rank_closed_minutes)
     finish(start(counts, f"{work}/checkpoint", write_batch=write, interval=None))
-    return spark.read.parquet(f"{work}/rows").drop("batch_id")
+    # Without a closed window there is no batch; an empty one gives the schema and the folder.
+    empty = stream_marts.rank_closed_minutes(spark.createDataFrame([], counts.schema))
+    empty.write.mode("ignore").parquet(f"{work}/rows/batch_id=-1")
+    return spark.read.schema(empty.schema).parquet(f"{work}/rows").drop("batch_id")
 
 
 def _land_edits(spark, sf_dir):
@@ -319,13 +322,19 @@ _QUERIES: dict[str, Query] = {
     "editor_mix": _raw(serving.editor_mix, window_min=720),
     "recent_edits": _raw(serving.recent_edits, n=100, window_min=60),
     "trending_view": _mart(serving.trending_view, "trending_per_minute", minutes=360),
+    "trending_view_asis": _mart(serving.trending_view_asis, "trending_per_minute", minutes=360),
     "trending_rollup": _mart(serving.trending_rollup, "trending_per_minute", minutes=360),
-    "trending_rollup_exact": _mart(serving.trending_rollup, "trending_per_minute", minutes=360, exact=True),
+    "trending_rollup_exact": _mart(serving.trending_rollup, "trending_per_minute", minutes=360),
+    "trending_rollup_asis": _mart(serving.trending_rollup_asis, "trending_per_minute", minutes=360),
     "top_velocity": _mart(serving.top_velocity, "edit_velocity", hours=12, n=100),
     "vandalism_view": _mart(
         serving.vandalism_view, "vandalism_candidates", n=100, severities=("🔴 high", "🟡 medium")
     ),
-    "vandalism_summary": _mart(serving.vandalism_summary, "vandalism_candidates", n=100),
+    "vandalism_view_asis": _mart(
+        serving.vandalism_view_asis, "vandalism_candidates", n=100, severities=("🔴 high", "🟡 medium")
+    ),
+    "vandalism_summary": _mart(serving.vandalism_summary, "vandalism_candidates"),
+    "vandalism_summary_asis": _mart(serving.vandalism_summary_asis, "vandalism_candidates", n=100),
     "top_navigations": _stored(serving.top_navigations, "core.fact_clickstream", "core.dim_page", n=25),
     "nav_type_mix": _stored(serving.nav_type_mix, "core.fact_clickstream"),
     "clickstream_coverage": _stored(serving.clickstream_coverage, "core.fact_clickstream"),

@@ -155,23 +155,19 @@ def trending_rows(
     return rows.select("minute_bucket", "wiki_db", "page_title", "edit_count", "rank_in_minute", "rank_in_wiki_minute")
 
 
-def trending_rollup(
-    trending: DataFrame,
-    as_of: AsOf = None,
-    minutes: int = 60,
-    n: int = 15,
-    max_rank: int = 3,
-    exact: bool = False,
+def trending_rollup(trending: DataFrame, as_of: AsOf = None, minutes: int = 60, n: int = 15) -> DataFrame:
+    """The n pages with most edits, summed over the whole look-back."""
+    return _most_edited(trending.where(F.col("minute_bucket") >= back(as_of, minutes=minutes)), n)
+
+
+def trending_rollup_asis(
+    trending: DataFrame, as_of: AsOf = None, minutes: int = 60, n: int = 15, max_rank: int = 3
 ) -> DataFrame:
-    """Pages by edits summed over the fetched rows.
+    """As computed: sums over the newest 500 rows of rank 10 or better, so they may be too small."""
+    return _most_edited(trending_rows(trending, as_of, minutes, max_rank), n)
 
-    As is, those are the newest 500 rows of rank 10 or better, so sums may be too small;
-    ``exact`` sums the whole look-back.
-    """
-    if exact:
-        rows = trending.where(F.col("minute_bucket") >= back(as_of, minutes=minutes))
-    else:
-        rows = trending_rows(trending, as_of, minutes, max_rank)
+
+def _most_edited(rows: DataFrame, n: int) -> DataFrame:
     pages = rows.groupBy("wiki_db", "page_title").agg(F.sum("edit_count").alias("edit_count"))
     return _top(pages, n, F.desc("edit_count"), F.asc("wiki_db"), F.asc("page_title"))
 
@@ -179,8 +175,18 @@ def trending_rollup(
 def trending_view(
     trending: DataFrame, as_of: AsOf = None, minutes: int = 60, max_rank: int = 3, n: int = 60
 ) -> DataFrame:
-    """The first n of the fetched rows that reach ``max_rank``."""
-    fetched = trending_rows(trending, as_of, minutes, max_rank)
+    """The first n of all rows of the look-back that reach ``max_rank``."""
+    return _ranked_view(trending_rows(trending, as_of, minutes, max_rank, limit=None), max_rank, n)
+
+
+def trending_view_asis(
+    trending: DataFrame, as_of: AsOf = None, minutes: int = 60, max_rank: int = 3, n: int = 60
+) -> DataFrame:
+    """As computed: the first n of the newest 500 rows that reach ``max_rank``."""
+    return _ranked_view(trending_rows(trending, as_of, minutes, max_rank), max_rank, n)
+
+
+def _ranked_view(fetched: DataFrame, max_rank: int, n: int) -> DataFrame:
     return _top(fetched.where(F.col("rank_in_minute") <= max_rank), n, *_newest_minutes())
 
 
@@ -192,10 +198,15 @@ def top_velocity(velocity: DataFrame, as_of: AsOf = None, hours: int = 6, min_ac
     return rows.select("minute_bucket", "wiki_db", "page_title", "edits_this_min", "edits_lag_60", "accel")
 
 
-def vandalism_rows(candidates: DataFrame, as_of: AsOf = None, hours: int = 24, n: int | None = 30) -> DataFrame:
+def _candidates(candidates: DataFrame, as_of: AsOf, hours: int) -> DataFrame:
+    """Candidates of the look-back with their severity."""
     recent = candidates.where(F.col("window_end") >= back(as_of, hours=hours))
-    rows = _top(
-        recent,
+    return recent.withColumn("severity", labels.severity(F.col("anon_edit_count"), F.col("revert_share")))
+
+
+def _worst(rows: DataFrame, n: int | None) -> DataFrame:
+    ordered = _top(
+        rows,
         n,
         F.desc("anon_edit_count"),
         F.desc_nulls_last("revert_share"),
@@ -203,7 +214,7 @@ def vandalism_rows(candidates: DataFrame, as_of: AsOf = None, hours: int = 24, n
         F.asc("wiki_db"),
         F.asc("page_title"),
     )
-    return rows.withColumn("severity", labels.severity(F.col("anon_edit_count"), F.col("revert_share"))).select(
+    return ordered.select(
         "severity", "window_start", "wiki_db", "page_title",
         "anon_edit_count", "total_edit_count", "distinct_ip_classes", "revert_share",
     )
@@ -212,14 +223,32 @@ def vandalism_rows(candidates: DataFrame, as_of: AsOf = None, hours: int = 24, n
 def vandalism_view(
     candidates: DataFrame, as_of: AsOf = None, hours: int = 24, severities: Sequence[str] = (), n: int | None = 30
 ) -> DataFrame:
-    """Worst candidates; the severity filter (empty: none) acts on the rows left by the limit."""
-    rows = vandalism_rows(candidates, as_of, hours, n)
+    """The n worst candidates of the given severities (empty: all)."""
+    rows = _candidates(candidates, as_of, hours)
+    return _worst(rows.where(F.col("severity").isin(*severities)) if severities else rows, n)
+
+
+def vandalism_view_asis(
+    candidates: DataFrame, as_of: AsOf = None, hours: int = 24, severities: Sequence[str] = (), n: int | None = 30
+) -> DataFrame:
+    """As computed: the severity filter acts on the rows left by the limit."""
+    rows = _worst(_candidates(candidates, as_of, hours), n)
     return rows.where(F.col("severity").isin(*severities)) if severities else rows
 
 
-def vandalism_summary(candidates: DataFrame, as_of: AsOf = None, hours: int = 24, n: int | None = 30) -> DataFrame:
-    """Number and means of the rows left by the limit, whatever the severity filter says."""
-    return vandalism_rows(candidates, as_of, hours, n).agg(
+def vandalism_summary(candidates: DataFrame, as_of: AsOf = None, hours: int = 24) -> DataFrame:
+    """Number and means (to 10 places, whatever the order of summing) of all candidates of the look-back."""
+    means = ("avg_anon_edits", "avg_revert_share")
+    return _summary(_candidates(candidates, as_of, hours)).withColumns({c: F.round(c, 10) for c in means})
+
+
+def vandalism_summary_asis(candidates: DataFrame, as_of: AsOf = None, hours: int = 24, n: int | None = 30) -> DataFrame:
+    """As computed: number and means of the n worst candidates, whatever the severity filter says."""
+    return _summary(_worst(_candidates(candidates, as_of, hours), n))
+
+
+def _summary(rows: DataFrame) -> DataFrame:
+    return rows.agg(
         _count().alias("candidate_windows"),
         F.avg("anon_edit_count").alias("avg_anon_edits"),
         F.avg("revert_share").alias("avg_revert_share"),

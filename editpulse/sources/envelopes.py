@@ -97,6 +97,10 @@ def _all_names_text() -> Column:
     return F.when(suspect, reduce(Column.__and__, map(_is_text, _NAMES))).otherwise(True)
 
 
+# One JSON value other than an object and nothing after it; parsing alone would pass over what follows.
+_OTHER_JSON = r'(?s)\A\s*(\[.*\]|"(\\.|[^"\\])*"|[-+.0-9eE]+|true|false|null)\s*\z'
+
+
 def check_envelopes(messages: DataFrame, value: str = "value") -> DataFrame:
     """Every message with a ``reason`` (NULL when it is a valid edit) and its model columns.
 
@@ -104,7 +108,7 @@ def check_envelopes(messages: DataFrame, value: str = "value") -> DataFrame:
     valid, the editor is trimmed and must not be empty, an absent length gives NULL bytes, and a
     zero revision id falls through to the event id.
 
-    The reason is the first rule that fails: undecodable, type, missing (title or namespace),
+    The reason is the first rule that fails: undecodable (no JSON), not_object, type, missing (title or namespace),
     timestamp, editor, field_type. Flags and numbers given as JSON text count by their text.
     """
     kept = [c for c in messages.columns if c != value]
@@ -152,7 +156,12 @@ def check_envelopes(messages: DataFrame, value: str = "value") -> DataFrame:
         ).alias("_well_typed"),
     )
     reason = (
-        F.when(~F.col("_is_object"), "undecodable")
+        F.when(
+            ~F.col("_is_object"),
+            F.when(
+                F.col("value").rlike(_OTHER_JSON) & F.try_parse_json(F.col("value")).isNotNull(), "not_object"
+            ).otherwise("undecodable"),
+        )
         .when(~F.col("_is_edit"), "type")
         .when(F.col("_is_missing"), "missing")
         .when(F.col("ts").isNull(), "timestamp")
@@ -176,12 +185,17 @@ COUNTERS = "ingest"
 
 
 def ingest_counters() -> list[Column]:
-    """received, published and dropped, over the rows of ``check_envelopes``."""
+    """received, published and dropped, over the rows of ``check_envelopes``.
+
+    Text that is no JSON never becomes an event: it is neither received nor dropped, but counted apart.
+    """
+    broken = F.coalesce(F.col("reason") == "undecodable", F.lit(False))
     refused = F.col("reason").isNotNull()
     return [
-        F.count(F.lit(1)).alias("received"),
+        F.count_if(~broken).alias("received"),
         F.count_if(~refused).alias("published"),
-        F.count_if(refused).alias("dropped"),
+        F.count_if(refused & ~broken).alias("dropped"),
+        F.count_if(broken).alias("undecodable"),
     ]
 
 

@@ -8,8 +8,12 @@ from pyspark.sql import types as T
 
 from editpulse import schemas
 
-# How the landing job reads its topic.
-TOPIC_DEFAULTS = {
+# Nothing is skipped: from the first message on, and a gap in the offsets stops the stream.
+TOPIC_DEFAULTS = {"startingOffsets": "earliest", "failOnDataLoss": "true"}
+
+# The topic as the described landing job reads it. It starts at the newest message,
+# passes over lost offsets and takes at most 5000 messages per trigger.
+TOPIC_ASIS = {
     "startingOffsets": "latest",
     "failOnDataLoss": "false",
     "maxOffsetsPerTrigger": "5000",

@@ -60,12 +60,17 @@ def append_once(spark: SparkSession, path: str, quarantine: str) -> BatchWriter:
         try:
             session = batch.sparkSession
             edit_date = F.to_date("ts")
-            dates = [r[0] for r in batch.where(F.col("ts").isNotNull()).select(edit_date).distinct().collect()]
-            landed = read_landed(session, path).where(F.col("edit_date").isin(*dates) if dates else F.lit(False))
+            dated = batch.where(F.col("ts").isNotNull())
+            dates = [r[0] for r in dated.select(edit_date).distinct().collect()]
+            # Equal keys have equal times, so row groups outside the batch's own span are not read.
+            first, last = dated.agg(F.min("ts"), F.max("ts")).first()
+            near = F.col("edit_date").isin(*dates) & F.col("ts").between(F.lit(first), F.lit(last)) if dates else F.lit(False)
+            landed = read_landed(session, path).where(near)
             good, bad = enforce_landing(batch, landed_keys=landed)
             if dates:
                 _with_dates(good).write.mode("append").partitionBy(*_LAYOUT.partition_by).parquet(path)
-            bad.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
+            if not bad.isEmpty():
+                bad.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
         finally:
             batch.unpersist()
 

@@ -20,7 +20,7 @@ class IngestCounterListener(StreamingQueryListener):
     """Adds up the counters of all micro-batches of the session's streams."""
 
     def __init__(self) -> None:
-        self.totals = {"received": 0, "published": 0, "dropped": 0}
+        self.totals = {"received": 0, "published": 0, "dropped": 0, "undecodable": 0}
 
     def onQueryStarted(self, event) -> None:
         pass

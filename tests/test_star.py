@@ -167,5 +167,5 @@ def test_anomaly_score_without_history(spark):
 def test_trending_rollup_is_cut(spark):
     raw = edits(spark, *[edit(m, m, title="A") for m in range(1, 600)])
     trending = marts.trending_per_minute(*star(spark, raw))
-    assert serving.trending_rollup(trending, as_of=at(600), minutes=720).first().edit_count == 500
-    assert serving.trending_rollup(trending, as_of=at(600), minutes=720, exact=True).first().edit_count == 599
+    assert serving.trending_rollup_asis(trending, as_of=at(600), minutes=720).first().edit_count == 500
+    assert serving.trending_rollup(trending, as_of=at(600), minutes=720).first().edit_count == 599

@@ -118,6 +118,7 @@ def test_plain_landing_appends(spark, work_dir):
 def test_publish_counts_and_reads_back(spark, work_dir):
     envelopes(spark, work_dir, event(1), event(2, type="log"), event(3, user=" "))
     envelopes(spark, work_dir, event(4))
+    spark.createDataFrame([("no json",)], "value STRING").write.mode("append").text(f"{work_dir}/topic")
     listener = publish.IngestCounterListener()
     spark.streams.addListener(listener)
     try:
@@ -126,18 +127,18 @@ def test_publish_counts_and_reads_back(spark, work_dir):
         spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
     finally:
         spark.streams.removeListener(listener)
-    assert listener.totals == {"received": 4, "published": 2, "dropped": 2}
+    assert listener.totals == {"received": 4, "published": 2, "dropped": 2, "undecodable": 1}
     sent = parse_envelope(spark.read.parquet(f"{work_dir}/out")).collect()
     assert sorted(r.edit_id for r in sent) == [1, 4]
 
 
 def test_marks(spark, work_dir):
-    rows = [('{"name": "Student1", "math": 55, "physics": 50}',), ('{"name": "Student2", "math": 65, "physics": 60}',)]
+    rows = [('{"name": "Ines", "math": 31, "physics": 44}',), ('{"name": "Oka", "math": 90, "physics": 7}',)]
     spark.createDataFrame(rows, "value STRING").write.text(f"{work_dir}/marks")
     stream = read_edit_stream(spark, fmt="text", path=f"{work_dir}/marks")
     query = marks_stream.with_average(stream).writeStream.format("memory").queryName("averages")
     finish(query.trigger(availableNow=True).start())
-    assert sorted(tuple(r) for r in spark.table("averages").collect()) == [("Student1", 55, 50, 52.5), ("Student2", 65, 60, 62.5)]
+    assert sorted(tuple(r) for r in spark.table("averages").collect()) == [("Ines", 31, 44, 37.5), ("Oka", 90, 7, 48.5)]
     console = marks_stream.show_averages(stream, f"{work_dir}/console")
     console.processAllAvailable()
     console.stop()

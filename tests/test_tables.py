@@ -18,7 +18,7 @@ from editpulse.plans.warehouse import ALL, CatalogWarehouse, relations
 from editpulse.sinks import jdbc, tables
 from editpulse.sources.lookups import read_table, table_exists, wiki_geo
 from editpulse.sources.navigation import read_clickstream, resolve_dump_path
-from editpulse.sources.topics import topic_options
+from editpulse.sources.topics import TOPIC_ASIS, topic_options
 
 
 @pytest.fixture()
@@ -175,7 +175,8 @@ def test_plain_dump_wins(spark, work_dir):
 
 
 def test_connection_options():
-    assert topic_options("h:1", "t")["maxOffsetsPerTrigger"] == "5000"
+    assert topic_options("h:1", "t")["startingOffsets"] == "earliest"
+    assert topic_options("h:1", "t", **TOPIC_ASIS)["maxOffsetsPerTrigger"] == "5000"
     assert topic_options("h:1", "t", startingOffsets="earliest")["startingOffsets"] == "earliest"
     url = jdbc.postgres_url("h", 5432, "d", untyped_strings=True)
     assert url == "jdbc:postgresql://h:5432/d?stringtype=unspecified"
