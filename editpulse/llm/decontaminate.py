@@ -236,7 +236,7 @@ def contaminations(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -
 
         def rows(batches: Iterator[pa.RecordBatch], ids=ids, texts=texts) -> Iterator[pa.RecordBatch]:
             block = block_of(ids, texts)
-            for batch in slices(batches, "text", 4 << 20):
+            for batch in slices(batches, "text", 1 << 20):
                 matches = find(block, texts_of(batch, "text").to_pylist())
                 text, item, start, end, edits = (np.array(x, np.int64) for x in zip(*matches)) if matches else [np.zeros(0, np.int64)] * 5
                 owner = pa.array(text)

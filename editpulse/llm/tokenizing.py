@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 from editpulse.llm.batches import spread, words
 
 # Distinct words a worker remembers: the first it meets, which the frequent ones are among.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 _WORDS_PER_CALL = 2_000
 
 
