@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,10 +17,14 @@ def newer_than(source: DataFrame, target: DataFrame, column: str = "ingested_at"
     return source.where(F.col(column) > high.scalar())
 
 
-def replace_by_key(target: DataFrame, source: DataFrame, key: str = "edit_id") -> DataFrame:
+def _names(key: str | Sequence[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def replace_by_key(target: DataFrame, source: DataFrame, key: str | Sequence[str] = "edit_id") -> DataFrame:
     """Target without the source's keys, plus the source; columns new in the source start as NULL."""
-    keys = source.select(key).distinct()
-    return target.join(keys, key, "left_anti").unionByName(source, allowMissingColumns=True)
+    keys = source.select(*_names(key)).distinct()
+    return target.join(keys, _names(key), "left_anti").unionByName(source, allowMissingColumns=True)
 
 
 def add_missing(target: DataFrame, seed: DataFrame, key: str) -> DataFrame:
@@ -58,43 +63,92 @@ def incremental_upsert(
     spark: SparkSession,
     table: str,
     source: DataFrame,
-    key: str = "edit_id",
+    key: str | Sequence[str] = "edit_id",
     partition: str = "edit_date",
     work_dir: str | None = None,
+    sort_by: Sequence[str] = (),
 ) -> None:
     """Upsert ``source`` into a date-partitioned table, rewriting only the dates it touches.
 
     Touched dates are those of the new rows and those where a stored row has one of the new keys.
     Their new content is staged in the shared folder and then swapped in by a dynamic partition
-    overwrite, so the table is never read while it is replaced; a date left without rows is dropped.
+    overwrite, split and sorted by ``sort_by``, so the table is never read while it is replaced.
     Running the same load twice leaves the same table.
+
+    ``edit_id`` alone also replaces an edit of another wiki that has the same number; a composite key such as
+    ``("wiki_id", "edit_id")`` does not. Finding the touched dates reads the key of every stored row, unless
+    ``partition`` is part of the key: then only the dates of the new rows are read.
     """
     add_new_columns(spark, table, source)
     stage = work_dir or new_work_dir(spark, "upsert")
     source.write.parquet(f"{stage}/new")
     new = spark.read.parquet(f"{stage}/new")
     target = spark.table(table)
-    keys = new.select(key).distinct()
-    # Ids grow with time and files are laid out by time, so the id range skips most row groups.
-    low, high = (new.agg(bound(key).alias(key)) for bound in (F.min, F.max))
-    candidates = target.where(F.col(key).between(low.scalar(), high.scalar()))
-    # The table's dates are its partitions, so this list is as short as the partition list.
-    replaced = [r[0] for r in candidates.join(keys, key, "left_semi").select(partition).distinct().collect()]
-    touched = {r[0] for r in new.select(partition).distinct().collect()} | set(replaced)
+    names = _names(key)
+    touched = {r[0] for r in new.select(partition).distinct().collect()}
+    if partition not in names:
+        # The table's dates are its partitions, so this list is as short as the partition list.
+        replaced = spark.table(table).join(new.select(*names).distinct(), names, "left_semi")
+        touched |= {r[0] for r in replaced.select(partition).distinct().collect()}
     if not touched:
         return
     in_touched = F.coalesce(F.col(partition).isin(*touched), F.lit(None in touched))
-    merged = replace_by_key(target.where(in_touched), new, key)
+    merged = replace_by_key(spark.table(table).where(in_touched), new, key)
     merged.write.partitionBy(partition).parquet(f"{stage}/merged")
     staged = spark.read.schema(merged.schema).parquet(f"{stage}/merged")
     remaining = {r[0] for r in staged.select(partition).distinct().collect()}
-    overwrite_partitions(spark, table, staged)
+    # Dates that end up empty go first: they hold replaced rows only, so a load that dies here leaves no row
+    # twice and finds the same new rows when it runs again.
     for date in touched - remaining:
         value = "NULL" if date is None else f"DATE '{date}'"
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition} = {value})")
+    if sort_by:
+        staged = staged.repartitionByRange(partition, *sort_by).sortWithinPartitions(partition, *sort_by)
+    overwrite_partitions(spark, table, staged)
+
+
+# Table property with the high-water mark of the last finished load, in microseconds.
+_LOADED_UNTIL = "editpulse.loaded_until"
+
+
+def loaded_until(spark: SparkSession, table: str, column: str = "ingested_at") -> int:
+    """The table's high-water mark in microseconds: kept by the last load, else read from the rows (0 if there are none)."""
+    kept = [r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect() if r["key"] == _LOADED_UNTIL]
+    if kept:
+        return int(kept[0])
+    return spark.table(table).agg(F.coalesce(F.unix_micros(F.max(column)), F.lit(0))).first()[0]
+
 
+def since(landed: DataFrame, mark: int, column: str = "ingested_at", date: str = "ingest_date") -> DataFrame:
+    """Landed rows strictly above ``mark``; whole ingest dates before it are not read."""
+    at = F.timestamp_micros(F.lit(mark))
+    rows = landed.where(F.col(column) > at)
+    return rows.where(F.col(date) >= F.to_date(at)) if date in landed.columns else rows
 
-def load_incrementally(spark: SparkSession, table: str, fact: DataFrame, key: str = "edit_id") -> None:
-    """The scheduled load: rows above the table's high-water mark, upserted by key."""
-    dated = fact.withColumn("edit_date", F.to_date("ts"))
-    incremental_upsert(spark, table, newer_than(dated, spark.table(table)), key=key)
+
+def keep_mark(spark: SparkSession, table: str, mark: int) -> None:
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_LOADED_UNTIL}' = '{mark}')")
+
+
+def load_incrementally(
+    spark: SparkSession,
+    table: str,
+    landed: DataFrame,
+    derive: Callable[[DataFrame], DataFrame],
+    key: str | Sequence[str] = "edit_id",
+    sort_by: Sequence[str] = (),
+) -> None:
+    """The scheduled load: ``derive`` of the landed rows above the table's high-water mark, upserted by key.
+
+    The mark is kept with the table once the load is done. A load that dies before leaves the older
+    mark, and the next one takes the same rows again, which changes nothing.
+    """
+    stage = new_work_dir(spark, "load")
+    fresh = derive(since(landed, loaded_until(spark, table))).withColumn("edit_date", F.to_date("ts"))
+    fresh.write.parquet(stage)
+    new = spark.read.schema(fresh.schema).parquet(stage)
+    newest = new.agg(F.unix_micros(F.max("ingested_at"))).first()[0]
+    if newest is None:
+        return
+    incremental_upsert(spark, table, new, key=key, sort_by=sort_by)
+    keep_mark(spark, table, newest)

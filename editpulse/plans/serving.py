@@ -305,10 +305,11 @@ def anomaly_score(
     known = dim_page.select(F.col("wiki_id").alias("wiki_db"), "namespace", "page_title")
     live = counted.join(known, page).groupBy("page_title").agg(F.sum("_edits").alias("live_edits"))
     live = live.where(F.col("live_edits") >= min_live)
-    # Only the history of these few pages is needed; the narrow join side also lets Spark filter the
-    # large fact by page id while it is read.
+    # Only the history of these few pages is needed, so the fact loses all others before it is summed.
     live_pages = dim_page.join(live.select("page_title"), "page_title", "left_semi")
-    scored = live.join(navigations_by_title(fact_clickstream, live_pages), "page_title", "left").select(
+    page_ids = live_pages.select(F.col("page_id").alias("target_page_id"))
+    history = fact_clickstream.join(page_ids, "target_page_id", "left_semi")
+    scored = live.join(navigations_by_title(history, live_pages), "page_title", "left").select(
         "page_title",
         "live_edits",
         F.coalesce("navigations", F.lit(0)).alias("navigations"),

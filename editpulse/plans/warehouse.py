@@ -74,14 +74,21 @@ class CatalogWarehouse(_Relations):
 
     def build(self, full_refresh: bool = False) -> None:
         """Dimensions and marts are rebuilt; the edit fact only takes what landed since the last build."""
-        seed_if_absent(self.spark, build_dim_time(self.spark), self.name("core.dim_time"), "time_id")
+        # The usual year, and whatever minutes the edits reach beyond it.
+        for minutes in (build_dim_time(self.spark), dim_time_covering(self.table("raw.stg_edit"))):
+            seed_if_absent(self.spark, minutes, self.name("core.dim_time"), "time_id")
         for name in DIMS:
             self.store(name, self.derive(name))
-        fact = self.derive("core.fact_edit")
         if full_refresh or self.find("core.fact_edit") is None:
-            self.store("core.fact_edit", fact)
+            self.store("core.fact_edit", self.derive("core.fact_edit"))
         else:
-            load_incrementally(self.spark, self.name("core.fact_edit"), fact)
+            load_incrementally(
+                self.spark,
+                self.name("core.fact_edit"),
+                self.table("raw.stg_edit"),
+                lambda landed: facts.fact_edit(staging.stg_edit(landed)),
+                sort_by=layout_for("core.fact_edit").sort_by,
+            )
         for name in ("core.fact_clickstream", *MARTS):
             self.store(name, self.derive(name))
 

@@ -11,7 +11,7 @@ from build import at, edit, edits, navigations
 from pyspark.sql import functions as F
 
 from editpulse.operators import quality
-from editpulse.operators.upsert import incremental_upsert
+from editpulse.operators.upsert import incremental_upsert, keep_mark, loaded_until, since
 from editpulse.plans import serving
 from editpulse.plans.contracts import CONTRACTS
 from editpulse.plans.warehouse import ALL, CatalogWarehouse, relations
@@ -128,6 +128,32 @@ def test_new_columns_are_appended(spark, warehouse):
     assert notes == {1: None, 2: None, 3: None, 4: "n"}
 
 
+def test_composite_key_and_mark(spark, warehouse):
+    name = "upsert_two_wikis"
+    day = at(0).date()
+
+    def rows(*of):
+        return spark.createDataFrame([(wiki, i, n, day) for wiki, i, n in of], "wiki_id STRING, edit_id INT, n INT, edit_date DATE")
+
+    rows(("en", 1, 1), ("de", 1, 2), ("en", 2, 3)).write.partitionBy("edit_date").saveAsTable(name)
+    incremental_upsert(spark, name, rows(("en", 1, 9)), key=("wiki_id", "edit_id"), sort_by=("edit_id",))
+    assert sorted((r.wiki_id, r.edit_id, r.n) for r in spark.table(name).collect()) == [("de", 1, 2), ("en", 1, 9), ("en", 2, 3)]
+    incremental_upsert(spark, name, rows(("en", 1, 7)), key=("edit_date", "wiki_id", "edit_id"))
+    assert sorted((r.wiki_id, r.edit_id, r.n) for r in spark.table(name).collect()) == [("de", 1, 2), ("en", 1, 7), ("en", 2, 3)]
+    keep_mark(spark, name, 12)
+    assert loaded_until(spark, name) == 12
+
+
+def test_scheduled_load_prunes_ingest_dates(spark, work_dir):
+    landed = edits(spark, edit(1), edit(2, minute=2000)).withColumn("ingest_date", F.to_date("ingested_at"))
+    landed.write.partitionBy("ingest_date").parquet(f"{work_dir}/landed")
+    mark = int(at(1000).timestamp() * 1_000_000)
+    new = since(spark.read.parquet(f"{work_dir}/landed"), mark)
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert "ingest_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert [r.edit_id for r in new.collect()] == [2]
+
+
 def test_month_loads(spark, warehouse):
     name = warehouse.name("raw.stg_clickstream")
     april = navigations(spark, ("A", "B", "link", 3))
