@@ -21,18 +21,45 @@ class Kind:
     pattern: str
 
 
+_DATE = r"(?:1[6-9]|20)[0-9]{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])"
+_SSN = r"(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}"
+_LOCAL_PHONE = r"(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
+# Layouts of cards: unbroken, and groups of 4-4-4-4, 4-6-5 and 4-6-4 digits.
+_CARD_LAYOUT = r"[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}"
+# Numbers only where no digit or letter touches them.
+_EDGE, _STOP = r"(?<![A-Za-z0-9.+-])", r"(?![A-Za-z0-9]|[.-][0-9])"
+# What a longer number with separators must not swallow.
+_FIXED = rf"(?:{_DATE}|{_SSN}|{_LOCAL_PHONE}){_STOP}"
+_OWN = f"(?!{_FIXED})"
+
 KINDS = (
     Kind("email", r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
-    Kind("date", r"(?:1[6-9]|20)[0-9]{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])"),
+    Kind("date", _DATE),
     Kind("ipv4", rf"{_OCTET}(?:\.{_OCTET}){{3}}"),
-    Kind("ssn", r"(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}"),
+    Kind("ssn", _SSN),
     Kind("card", r"[0-9](?:[ -]?[0-9]){12,18}"),
-    Kind("phone", r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"),
+    Kind(
+        "phone",
+        rf"(?:\+[0-9]{{1,3}}[ .-]?)?{_LOCAL_PHONE}"
+        rf"|\+[0-9]{{1,3}}(?:[ .-]?\([0-9]{{1,4}}\)[ .-]?)?(?:[ .-]{_OWN}(?!(?:{_CARD_LAYOUT}){_STOP})[0-9]|[0-9]){{6,12}}",
+    ),
 )
-# One pass over the text; emails before what could be inside them, numbers only where no digit or
-# letter touches them.
-_EDGE, _STOP = r"(?<![A-Za-z0-9.+-])", r"(?![A-Za-z0-9]|[.-][0-9])"
-_ANY = "|".join([rf"(?<![A-Za-z0-9._%+-]){KINDS[0].pattern}", *[f"{'(?<![A-Za-z0-9+])' if k.name == 'phone' else _EDGE}(?:{k.pattern}){_STOP}" for k in KINDS[1:]]])
+# Groups of digits with single blanks or hyphens between, none of which begins one of the other kinds; the
+# cards are sought inside. Possessive, as Java would recurse for each group of a long run.
+_GROUP = r"[0-9]++(?![A-Za-z]|\.[0-9]|-[0-9]++(?:[A-Za-z]|\.[0-9]))"
+_RUN = rf"(?=(?:[ -]?[0-9]){{13}}){_GROUP}(?:[ -]{_OWN}{_GROUP})*+(?:(?!-[0-9])|(?=-{_FIXED}))"
+_PATTERNS = {k.name: k.pattern for k in KINDS}
+# One pass over the text; emails before what could be inside them, fixed layouts before runs of digits.
+_ANY = "|".join(
+    [
+        rf"(?<![A-Za-z0-9._%+-]){_PATTERNS['email']}",
+        *[f"{_EDGE}(?:{_PATTERNS[k]}){_STOP}" for k in ("date", "ipv4", "ssn")],
+        f"(?<![A-Za-z0-9+])(?:{_PATTERNS['phone']}){_STOP}",
+        f"{_EDGE}{_RUN}",
+    ]
+)
+# Calling codes, as far as they can be told from the digits after them.
+_CODE = r"^(\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})[ .-]?)?"
 
 
 def _mix(key: str, tweak: Column, step: Column, half: Column) -> Column:
@@ -134,8 +161,7 @@ def _numbered(key: str, kind: str, value: Column, kept: Column) -> Column:
 
 
 def _kind_of(value: Column) -> Column:
-    """The kind of a find, '' for numbers that fail their check."""
-    digits = F.regexp_replace(value, "[^0-9]", "")
+    """The kind of a find, 'run' for digits in which cards are to be sought, '' for dates that are none."""
     whole = {k.name: value.rlike(rf"^(?:{k.pattern})$") for k in KINDS}
     real_date = F.try_to_timestamp(value, F.lit("yyyy-MM-dd")).isNotNull()
     return (
@@ -143,15 +169,63 @@ def _kind_of(value: Column) -> Column:
         .when(whole["date"], F.when(real_date, "date").otherwise(""))
         .when(whole["ipv4"], "ipv4")
         .when(whole["ssn"], "ssn")
-        .when(whole["card"], F.when(luhn_sum(digits) == 0, "card").otherwise(""))
         .when(whole["phone"], "phone")
-        .otherwise("")
+        .otherwise("run")
     )
 
 
+def _cards_in(run: Column) -> Column:
+    """A run of digit groups in pieces (kind, value): cards, and what lies between them with kind ''.
+
+    From each group on, every end after 13 to 19 digits is tried: the layouts of cards first, then the longest. Beside those
+    layouts a card has groups of three digits or more, or is the whole run: lists of small numbers
+    would hold a right Luhn sum somewhere. What no card takes is tried again from its next group.
+    """
+
+    def joined(groups: Column, first: Column, many: Column) -> Column:
+        return F.array_join(F.slice(groups, first + 1, many), "")
+
+    def best(groups: Column, first: Column) -> Column:
+        """The number of groups of the card that begins here; null if none does."""
+        left = F.size(groups) - first
+        tried = F.transform(
+            F.sequence(F.lit(1), F.least(F.lit(19), left)),
+            lambda m: F.struct(m.alias("m"), F.regexp_replace(joined(groups, first, m), "[ -]$", "").alias("value")),
+        )
+        sized = F.filter(tried, lambda t: F.length(F.regexp_replace(t["value"], "[^0-9]", "")).between(13, 19))
+        layout = lambda t: t["value"].rlike(f"^(?:{_CARD_LAYOUT})$")
+        loose = lambda t: ~t["value"].rlike("(?<![0-9])[0-9]{1,2}(?![0-9])") | ((first == 0) & (t["m"] == left))
+        right = F.filter(sized, lambda t: (layout(t) | loose(t)) & (luhn_sum(F.regexp_replace(t["value"], "[^0-9]", "")) == 0))
+        return F.array_max(F.transform(right, lambda t: F.struct(layout(t).alias("layout"), t["m"].alias("m"))))["m"]
+
+    def piece(kind: str, value: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), value.alias("value"))
+
+    def scanned(groups: Column) -> Column:
+        start = F.struct(F.array().cast("array<struct<kind:string,value:string>>").alias("out"), F.lit(0).alias("done"))
+
+        def found(state: Column, first: Column, many: Column) -> Column:
+            before, card = joined(groups, state["done"], first - state["done"]), joined(groups, first, many)
+            bare = F.regexp_replace(card, "[ -]$", "")
+            new = F.array(piece("", before), piece("card", bare), piece("", F.substring(card, F.length(bare) + 1, F.lit(1))))
+            return F.struct(F.concat(state["out"], new).alias("out"), (first + many).alias("done"))
+
+        def step(state: Column, first: Column) -> Column:
+            many = F.element_at(F.transform(F.array(best(groups, first)), lambda m: F.when(m.isNull(), state).otherwise(found(state, first, m))), 1)
+            return F.when(first < state["done"], state).otherwise(many)
+
+        def end(state: Column) -> Column:
+            return F.concat(state["out"], F.array(piece("", joined(groups, state["done"], F.size(groups) - state["done"]))))
+
+        return F.aggregate(F.sequence(F.lit(0), F.size(groups) - 1), start, step, end)
+
+    # The groups become a variable, so that they are split once and not once for each step.
+    return F.element_at(F.transform(F.array(F.split(run, "(?<=[ -])")), scanned), 1)
+
+
 def pseudonym(key: str, kind: Column, value: Column) -> Column:
     """The pseudonym of a value of its kind; other values stay."""
-    prefix = F.length(F.regexp_extract(value, r"^(\+[0-9]{1,3}[ .-]?)?", 0))
+    prefix = F.length(F.regexp_extract(value, _CODE, 0))
     return (
         F.when(kind == "email", _email(key, value))
         .when(kind == "date", _date(key, value))
@@ -167,7 +241,9 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", found: str = "pi
     """``docs`` with personal data in ``text`` replaced, and ``found``: kind, value as written there now, in text order.
 
     Emails, ISO dates from 1600 to 2099, IPv4 addresses, social security numbers, card numbers with a right
-    Luhn sum (13 to 19 digits, blanks or hyphens between), and phone numbers. Numbers and dates are
+    Luhn sum (13 to 19 digits, blanks or hyphens between, other digits may stand next to them), and phone
+    numbers: 3-3-4 with separators, or + and 7 to 15 digits. Other phone layouts can't be told from plain
+    numbers and stay. Fixed layouts win over longer runs of digits. Numbers and dates are
     permuted by a keyed Feistel network within their format: digits change in their places, a card
     stays valid, a date a date, an address an address; country codes and email domains stay. Equal
     values get equal pseudonyms in all documents, for cards and phones also if spaced differently. The same
@@ -178,17 +254,21 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", found: str = "pi
     """
     source = F.col(f"`{text}`")
     values = F.regexp_extract_all(source, F.lit(f"({_ANY})"), F.lit(1))
-    kinds = F.transform(values, lambda v: F.struct(_kind_of(v).alias("kind"), v.alias("value")))
-    swapped = F.transform(F.col("_kinds"), lambda x: F.struct(x.getField("kind").alias("kind"), pseudonym(key, x.getField("kind"), x.getField("value")).alias("value")))
+    known = F.transform(values, lambda v: F.struct(_kind_of(v).alias("kind"), v.alias("value")))
+    kinds = F.transform(known, lambda x: F.when(x.getField("kind") == "run", _cards_in(x.getField("value"))).otherwise(F.array(x)))
+    swapped = F.transform(
+        F.col("_kinds"),
+        lambda find: F.transform(find, lambda x: F.struct(x.getField("kind").alias("kind"), pseudonym(key, x.getField("kind"), x.getField("value")).alias("value"))),
+    )
     between = F.split(source, _ANY, -1)
-    new = F.array_join(F.zip_with(between, F.col("_swapped.value"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    new = F.array_join(F.zip_with(between, F.col("_swapped"), lambda a, b: F.concat(a, F.coalesce(F.array_join(b.getField("value"), ""), F.lit("")))), "")
     names = docs.columns
-    none = F.array().cast("array<struct<kind:string,value:string>>")
+    none = F.array().cast("array<array<struct<kind:string,value:string>>>")
     # Most texts have no digit and no @, and then no find: that test is far cheaper than the pattern.
     kinded = docs.withColumn("_kinds", F.when(source.rlike("[0-9@]") & source.rlike(_ANY), kinds).otherwise(none))
     done = kinded.withColumn("_swapped", F.when(F.size("_kinds") > 0, swapped).otherwise(none))
     replaced = done.withColumn("_new", F.when(F.size("_kinds") > 0, new).otherwise(source))
-    listed = F.filter(F.col("_swapped"), lambda x: x.getField("kind") != "")
+    listed = F.filter(F.flatten("_swapped"), lambda x: x.getField("kind") != "")
     return replaced.select(
         *[F.col("_new").alias(c) if c == text else F.col(f"`{c}`") for c in names if c != found], listed.alias(found)
     )

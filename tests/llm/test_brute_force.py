@@ -348,6 +348,26 @@ def test_pseudonyms_are_a_permutation(spark):
     assert pseudonyms.pseudonymise(days, "k").select("text").distinct().count() == days.count()
 
 
+def test_pseudonyms_of_values_next_to_other_digits(spark):
+    table(spark, SF_DIR, "documents")
+    card = "4111 1111 1111 1111"
+    cases = [
+        ("4111111111111111 12/27", ["card"], " 12/27"), (f"{card} 737", ["card"], " 737"), (f"2 {card}", ["card"], ""), (f"{card} {card}", ["card"] * 2, ""),
+        (f"7 {card}-12 5", ["card"], "-12 5"), ("3782 822463 10005 1234", ["card"], " 1234"), ("41111111 11111111 737", ["card"], " 737"),
+        ("order 1234 123-45-6789", ["ssn"], ""), ("555-123-4567 2024-01-05", ["phone", "date"], ""), (f"+14155552671 {card}", ["phone", "card"], ""),
+        ("+49 30 1234567", ["phone"], ""), ("+44 (0)20 7946 0958 2024-01-05", ["phone", "date"], ""), (f"12 123-45-6789 {card} 10.0.0.1", ["ssn", "card", "ipv4"], ""),
+        ("1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 19 20 21", [], " 21"), ("4111 1111 1111 1112", [], " 1112"), ("7 8 " * 20_000 + card, ["card"], ""),
+    ]
+    rows = [(i, text) for i, (text, _, _) in enumerate(cases)]
+    got = {r.doc_id: r for r in pseudonyms.pseudonymise(spark.createDataFrame(rows, "doc_id int, text string"), "k").collect()}
+    for i, (text, kinds, rest) in enumerate(cases):
+        assert [p.kind for p in got[i].pii] == kinds and got[i].text.endswith(rest), text[-60:]
+        assert re.sub("[0-9]", "0", got[i].text) == re.sub("[0-9]", "0", text) or "ipv4" in kinds
+        assert (got[i].text == text) == (not kinds) and card not in got[i].text and "123-45-6789" not in got[i].text
+        assert all(luhn(p.value) for p in got[i].pii if p.kind == "card")
+    assert got[0].pii[0].value == got[1].pii[0].value.replace(" ", "") and got[10].text.startswith("+49 ")
+
+
 def test_toxicity_on_held_out_rows(spark, empty):
     rows = queries.op3_toxicity(spark, "/root/testdata/sf0.1").where("held_out").join(table(spark, "/root/testdata/sf0.1", "labels"), "doc_id").collect()
     right = sum(r.predicted == r.toxic for r in rows) / len(rows)
