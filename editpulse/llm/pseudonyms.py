@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
-# One Gregorian cycle from 1600-01-01 has 146097 = 189 * 773 days, so its days are permuted without gaps.
-_FIRST_DAY, _DAYS_LEFT, _DAYS_RIGHT = "1600-01-01", 189, 773
+# From 1600-01-01 to 2099-12-31, the dates found, there are 182622 = 66 * 2767 days, so they are permuted without gaps.
+_FIRST_DAY, _DAYS_LEFT, _DAYS_RIGHT = "1600-01-01", 66, 2767
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
 

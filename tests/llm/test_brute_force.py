@@ -348,6 +348,12 @@ def test_pseudonyms_are_a_permutation(spark):
     assert pseudonyms.pseudonymise(days, "k").select("text").distinct().count() == days.count()
 
 
+def test_dates_of_all_accepted_years_are_permuted(spark):
+    days = spark.sql("SELECT explode(sequence(date'1600-01-01', date'2099-12-31')) AS d").select(F.date_format("d", "yyyy-MM-dd").alias("text"))
+    done = pseudonyms.pseudonymise(days.repartition(8), "k").select("text").distinct()
+    assert done.count() == days.count() and done.where("text not between '1600-01-01' and '2099-12-31'").count() == 0
+
+
 def test_pseudonyms_of_values_next_to_other_digits(spark):
     table(spark, SF_DIR, "documents")
     card = "4111 1111 1111 1111"
