@@ -119,7 +119,7 @@ def op9_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    removed = paragraph_dedup.repeated_paragraphs(spark, table(spark, sf_dir, "documents"))
+    removed = paragraph_dedup.repeated_paragraphs(spark, table(spark, sf_dir, "documents"), whole=True)
     return removed.groupBy("doc_id", "kept_doc_id").agg(F.count(F.lit(1)).alias("n_paragraphs"), F.sum("words").alias("n_words"))
 
 

@@ -307,6 +307,40 @@ def test_paragraph_dedup(spark, docs, texts, empty):
     assert paragraph_dedup.repeated_paragraphs(spark, empty).count() == 0
 
 
+def test_passages_without_long_sentences_are_found(spark):
+    table(spark, SF_DIR, "documents")
+    rng = random.Random(11)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(5000)]
+
+    def prose(n, stop=0):
+        return " ".join(rng.choice(vocabulary) + (rng.choice([".", ".\n"]) if stop and k % stop == stop - 1 else "") for k in range(n))
+
+    rows, planted = [], {}
+    for i in range(60):
+        size, stop = rng.randint(50, 100), [0, 4, 6][i % 3]
+        passage = prose(size, stop)
+        planted[2 * i + 1] = passage.split()
+        for doc in (2 * i, 2 * i + 1):
+            rows.append((doc, f"{prose(rng.randint(10, 90), 15 * (i % 2))} {passage} {prose(rng.randint(10, 90))}"))
+    rows += [(1000, "la " * 100_000), (1001, "one. two. three."), (1002, None)]
+    given = spark.createDataFrame(rows, "doc_id bigint, text string")
+    removed = paragraph_dedup.repeated_paragraphs(spark, given, whole=True)
+    cleaned = {r.doc_id: (r.text or "").split() for r in paragraph_dedup.without_paragraphs(given, removed, whole=True).collect()}
+    shares = []
+    for doc, text in rows[:120]:
+        gone = len(text.split()) - len(cleaned[doc])
+        if doc % 2:
+            shares.append(gone / len(planted[doc]))
+            assert gone <= len(planted[doc]) + 8
+        else:
+            assert gone == 0
+    assert min(shares) > 0 and sum(shares) / len(shares) > 0.6
+    split, _, bounds, before = paragraph_dedup._paragraphs(pa.array([t or "" for _, t in rows], pa.large_string()), whole=True)
+    counts = np.diff(bounds)
+    assert counts.sum() == len(split.codes) and (counts < 8).sum() == 1 and counts.max() < 24
+    print(min(shares), sum(shares) / len(shares))
+
+
 def luhn(number):
     digits = [int(c) for c in number if c.isdigit()][::-1]
     return (sum(digits[::2]) + sum(sum(divmod(2 * d, 10)) for d in digits[1::2])) % 10 == 0
