@@ -79,3 +79,23 @@ def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     total = int(counts.sum())
     ends = np.cumsum(counts)
     return np.repeat(starts - (ends - counts), counts) + np.arange(total)
+
+
+def grouped(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """The rows of each run of equal integer ``keys``, one table a run; one run is held at a time."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = np.stack([batch.column(k).to_numpy() for k in keys])
+        cuts = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1), batch.num_rows]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            own = tuple(key[:, a])
+            if held and own != last:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = own
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()

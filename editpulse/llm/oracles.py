@@ -94,6 +94,87 @@ measured AS (
 judged AS (SELECT *, ({_BITS})::BIGINT AS failed FROM measured)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 <> 0 AS base_failed, failed = 0 AS kept, failed FROM judged"""
 
+_OP11 = rf"""
+WITH RECURSIVE crc_step(n, k, v) AS (
+  SELECT n, 0, n::BIGINT FROM range(256) t(n)
+  UNION ALL SELECT n, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM crc_step WHERE k < 8),
+crc_table AS (SELECT list(v ORDER BY n) AS t FROM crc_step WHERE k = 8),
+keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+drawn AS (
+  SELECT conv_id, turn, role, text, xor(4294967295, list_reduce(list_transform(range(1, length(k) + 1), lambda i: ascii(substr(k, i, 1))::BIGINT),
+    lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1]), 4294967295)) % 20 AS d FROM keyed, crc_table),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role,
+    CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE d WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM drawn),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again, substr(role, 1, 1) AS r FROM ordered),
+judged AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'b' WHEN again THEN 'd' WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 't' ELSE '' END AS f,
+    lag(r) OVER (PARTITION BY conv_id ORDER BY i) AS q FROM placed),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (f = 'b') AS blank, count(*) FILTER (f = 'd') AS duplicate,
+    count(*) FILTER (f = 't') AS truncated, count(*) FILTER (i > 1 AND q || r NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM judged GROUP BY conv_id),
+heads AS (SELECT DISTINCT conv_id FROM conversations),
+-- States of a repaired prefix, each the least (cost, audit): nothing kept, after a system turn, after a user's, after an assistant's.
+walk(conv_id, i, nothing, sys, usr, asst) AS (
+  SELECT conv_id, 0::BIGINT, {{'c': 0, 'a': ''}}, {{'c': 99999999, 'a': ''}}, {{'c': 2, 'a': 'I'}}, {{'c': 4, 'a': 'II'}} FROM heads
+  UNION ALL
+  SELECT conv_id, i, nothing, sys, usr, list_min([asst, {{'c': usr.c + 2, 'a': usr.a || 'I'}}])
+  FROM (
+    SELECT conv_id, i, nothing, sys, asst,
+      list_min([usr, {{'c': nothing.c + 2, 'a': nothing.a || 'I'}}, {{'c': sys.c + 2, 'a': sys.a || 'I'}}, {{'c': asst.c + 2, 'a': asst.a || 'I'}}]) AS usr
+    FROM (
+      SELECT w.conv_id, j.i, {{'c': w.nothing.c + 3, 'a': w.nothing.a || 'D'}} AS nothing,
+        list_min([{{'c': w.sys.c + 3, 'a': w.sys.a || 'D'}}, {{'c': w.nothing.c + CASE WHEN j.f IN ('b', 'd') OR j.r <> 's' THEN 99999999 WHEN j.f = 't' THEN 1 ELSE 0 END, 'a': w.nothing.a || 'K'}}]) AS sys,
+        list_min([{{'c': w.usr.c + 3, 'a': w.usr.a || 'D'}}]
+          || list_transform([w.nothing, w.sys, w.asst], lambda x: {{'c': x.c + CASE WHEN j.f IN ('b', 'd') THEN 99999999 WHEN j.f = 't' THEN 1 ELSE 0 END + CASE WHEN j.r = 'u' THEN 0 ELSE 2 END,
+            'a': x.a || CASE WHEN j.r = 'u' THEN 'K' ELSE 'R' END}})) AS usr,
+        list_min([{{'c': w.asst.c + 3, 'a': w.asst.a || 'D'}},
+          {{'c': w.usr.c + CASE WHEN j.f IN ('b', 'd') THEN 99999999 WHEN j.f = 't' THEN 1 ELSE 0 END + CASE WHEN j.r = 'a' THEN 0 ELSE 2 END,
+            'a': w.usr.a || CASE WHEN j.r = 'a' THEN 'K' ELSE 'R' END}}]) AS asst
+      FROM walk w JOIN judged j ON w.conv_id IS NOT DISTINCT FROM j.conv_id AND j.i = w.i + 1))),
+ended AS (
+  SELECT w.conv_id, list_min([w.nothing, w.asst]) AS best FROM walk w LEFT JOIN counted c ON w.conv_id IS NOT DISTINCT FROM c.conv_id WHERE w.i = coalesce(c.n, 0)),
+edits AS (
+  SELECT conv_id, best.a AS audit, unnest(range(1, length(best.a) + 1)) AS p FROM ended),
+steps AS (
+  SELECT conv_id, p, substr(audit, p, 1) AS e, count(*) FILTER (substr(audit, p, 1) <> 'I') OVER o AS i, count(*) FILTER (substr(audit, p, 1) <> 'D') OVER o AS k
+  FROM edits WINDOW o AS (PARTITION BY conv_id ORDER BY p)),
+kept AS (
+  SELECT s.*, j.role, j.text, bool_or(s.e = 'K' AND s.k = 1 AND j.r = 's') OVER (PARTITION BY s.conv_id) AS led
+  FROM steps s LEFT JOIN judged j ON s.conv_id IS NOT DISTINCT FROM j.conv_id AND s.i = j.i WHERE s.e <> 'D'),
+texts AS (
+  SELECT conv_id, string_agg(CASE WHEN e = 'K' THEN role WHEN (k + CASE WHEN led THEN 1 ELSE 0 END) % 2 = 1 THEN 'user' ELSE 'assistant' END
+    || ':' || CASE WHEN e = 'I' THEN '' ELSE text END, chr(10) ORDER BY p) AS whole
+  FROM kept GROUP BY conv_id)
+SELECT h.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, best.c::BIGINT AS cost, best.a AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM heads h LEFT JOIN counted c ON h.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN ended d ON h.conv_id IS NOT DISTINCT FROM d.conv_id
+  LEFT JOIN texts t ON h.conv_id IS NOT DISTINCT FROM t.conv_id"""
+
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = rf"regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+_OP12 = f"""
+WITH docs AS (SELECT doc_id, row_number() OVER () AS r, {_TERMS} AS w FROM documents),
+total AS (SELECT count(*) FILTER (len(w) > 0)::BIGINT AS n_docs, greatest(1, coalesce(sum(len(w)), 0))::BIGINT AS n_terms FROM docs),
+held AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM docs) GROUP BY r, term),
+wanted AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY item_id, term),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS weight
+  FROM (SELECT term, count(*) AS df FROM held SEMI JOIN wanted USING (term) GROUP BY term), total),
+gains AS (
+  SELECT item_id, r, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * len(w) * n_docs) // n_terms)))) AS score
+  FROM wanted JOIN weights USING (term) JOIN held USING (term) JOIN docs USING (r), total GROUP BY item_id, r),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST, r)::INTEGER AS rank, doc_id, score::BIGINT AS score
+  FROM gains JOIN docs USING (r) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_interleaved_shards": _OP1, "op4_url_lists": _OP4, "op6_rule_ledger": _OP6}
+    return {"op1_interleaved_shards": _OP1, "op4_url_lists": _OP4, "op6_rule_ledger": _OP6, "op11_conversation_repair": _OP11, "op12_lexical_search": _OP12}

@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from editpulse.llm import (
-    decontaminate, ngram_join, packing, paragraph_dedup, pseudonyms, quality_ledger, sharding, token_files, toxicity, url_lists,
+    conversation_repair, decontaminate, lexical_search, minmax_dedup, ngram_join, packing, paragraph_dedup, pseudonyms, quality_ledger, sharding,
+    token_files, toxicity, url_lists,
 )
-from editpulse.llm.tables import table
+from editpulse.llm.tables import stored, table
 from editpulse.session import new_work_dir
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -123,8 +124,35 @@ def op10_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed.groupBy("doc_id", "kept_doc_id").agg(F.count(F.lit(1)).alias("n_paragraphs"), F.sum("words").alias("n_words"))
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversation rows with the faults that the query plants by crc32 of ``conv_id:turn``; nulls are one space."""
+    conv, turn, role, text = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text"))
+    drawn = F.crc32(F.concat(conv, F.lit(":"), turn)) % 20
+    text = F.when(drawn == 1, "").when(drawn == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+    rows = turns.select("conv_id", "turn", F.when(drawn == 4, "user").otherwise(role).alias("role"), text.alias("text"), drawn.alias("_drawn"))
+    copies = F.when(F.col("_drawn") == 0, 0).when(F.col("_drawn") == 3, 2).otherwise(1)
+    return rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies))).drop("_drawn", "_copy")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    turns = damaged(given)
+    found = stored(spark, conversation_repair.repairs(turns, given), "repairs")
+    digests = conversation_repair.repaired_digests(turns, found)
+    same = F.col("f.conv_id").eqNullSafe(F.col("d.conv_id"))
+    return found.alias("f").join(digests.alias("d"), same).select("f.*", "d.repaired_sha256")
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.lexical_search(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax_dedup.minmax_dedup(spark, table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_interleaved_shards, op2_pseudonyms, op3_toxicity, op4_url_lists, op5_token_files, op6_rule_ledger, op7_ngram_join,
-        op8_decontaminate, op9_bm25_packing, op10_paragraph_dedup,
+        op8_decontaminate, op9_bm25_packing, op10_paragraph_dedup, op11_conversation_repair, op12_lexical_search, op13_minmax_dedup,
     )}
