@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 LOOSE_IPV4 = r"^(\d{1,3}\.){3}\d{1,3}$"
 LOOSE_IPV6 = r"^[0-9a-fA-F:]+$"
 
+LONGEST_ADDRESS = 45
+
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 _V4 = rf"{_OCTET}(?:\.{_OCTET}){{3}}"
 _HEX = r"[0-9a-fA-F]{1,4}"
@@ -25,7 +27,10 @@ def looks_like_ip_loose(name: Column) -> Column:
 
 
 def is_ip_strict(name: Column) -> Column:
-    """True for a valid IPv4 or IPv6 literal (RFC 4291 text forms, optional %zone); NULL is false."""
+    """True for a valid IPv4 or IPv6 literal (RFC 4291 text forms, optional %zone); NULL is false.
+
+    An address has at most 45 characters before its zone, so longer names meet no pattern with repeated groups.
+    """
     v4 = name.rlike(rf"\A{_V4}\z")
     zone_ok = name.rlike(r"\A[^%/]+(?:%[^%/]+)?\z")
     address = F.regexp_replace(name, r"%[^%]*\z", "")
@@ -37,4 +42,5 @@ def is_ip_strict(name: Column) -> Column:
     )
     # Most names have neither separator and need no pattern at all.
     possible = name.contains(":") | name.contains(".")
-    return F.coalesce(F.when(possible, v4 | (zone_ok & (full | compressed))), F.lit(False))
+    short = F.length(F.substring_index(name, "%", 1)) <= LONGEST_ADDRESS
+    return F.coalesce(F.when(possible & short, v4 | (zone_ok & (full | compressed))), F.lit(False))

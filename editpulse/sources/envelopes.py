@@ -97,8 +97,9 @@ def _all_names_text() -> Column:
     return F.when(suspect, reduce(Column.__and__, map(_is_text, _NAMES))).otherwise(True)
 
 
-# One JSON value other than an object and nothing after it; parsing alone would pass over what follows.
-_OTHER_JSON = r'(?s)\A\s*(\[.*\]|"(\\.|[^"\\])*"|[-+.0-9eE]+|true|false|null)\s*\z'
+# One JSON value other than an object and nothing after it; parsing alone would pass over what follows. Possessive,
+# as Java would recurse for each character of a long string.
+_OTHER_JSON = r'(?s)\A\s*+(\[.*\]|"(?:[^"\\]++|\\.)*+"|[-+.0-9eE]+|true|false|null)\s*\z'
 
 
 def check_envelopes(messages: DataFrame, value: str = "value") -> DataFrame:
@@ -133,7 +134,7 @@ def check_envelopes(messages: DataFrame, value: str = "value") -> DataFrame:
         F.col("title").alias("page_title"),
         _integer(F.col("namespace"), "int").alias("namespace"),
         F.when(_is_blank(F.col("wiki")), "").otherwise(F.col("wiki")).alias("wiki_db"),
-        F.regexp_replace("user", rf"(?U)\A{_SPACE}+|{_SPACE}+\z", "").alias("editor"),
+        F.regexp_replace("user", rf"(?U)\A{_SPACE}++|(?<!{_SPACE}){_SPACE}++\z", "").alias("editor"),
         (~_is_blank(F.col("bot"))).alias("is_bot"),
         (~_is_blank(F.col("minor"))).alias("is_minor"),
         F.when(

@@ -172,3 +172,20 @@ def test_landing_rules(spark):
     assert sorted(r.missing_column for r in quarantine.collect()) == ["editor", "ts"]
     again, _ = enforce_landing(rows, landed_keys=good)
     assert again.columns == rows.columns and again.count() == 0
+
+
+def test_very_long_values_are_judged_not_fatal(spark):
+    size = 1_000_000
+    odd = [
+        '"' + "a" * size + '"', '"' + '\\"' * (size // 2) + '"', "[" + "1," * (size // 4) + "1]", '"' + "a" * size, "[" * 50_000,
+        json.dumps(changed(user="a:" * (size // 2))), json.dumps(changed(user=" " * size + "x" + " " * size)), json.dumps(changed(title="t" * size, comment="[" * size)),
+    ]
+    rows = checked(spark, *odd)
+    assert [r.reason for r in rows] == ["not_object", "not_object", "not_object", "undecodable", "undecodable", None, None, None]
+    assert not rows[5].is_anon and rows[6].editor == "x" and len(rows[7].page_title) == size
+
+
+@pytest.mark.parametrize("name", ["a:" * 20_000, "1." * 20_000, ":" * 100_000, "%" * 100_000, "::1%" + "z" * 100_000])
+def test_long_names_are_no_addresses_but_zones_may_be_long(spark, name):
+    row = spark.createDataFrame([(name,)], "name STRING").select(is_ip_strict(F.col("name")).alias("ip")).first()
+    assert row.ip == name.startswith("::1%")
