@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from editpulse.operators.combine import union_all
 from editpulse.operators.filters import AsOf, instant
@@ -85,47 +85,96 @@ class Contract:
         ]
 
 
-def _labelled(rows: DataFrame, relation: str, check: str, column: str, n: Column) -> DataFrame:
-    labels = (F.lit(text).alias(name) for name, text in zip(("relation", "check", "column"), (relation, check, column)))
-    return rows.select(*labels, n.cast("bigint").alias("violations"))
-
-
-def _violations(name: str, contract: Contract, relations: Mapping[str, DataFrame]) -> list[DataFrame]:
-    """Labelled counts that add up to the violations of one relation; nothing for checks that hold."""
-    rows = relations[name]
-    bad = {("not_null", c): F.col(c).isNull() for c in contract.not_null}
-    bad |= {("accepted_values", c): ~F.col(c).isin(*values) for c, values in contract.accepted.items()}
-    parts: list[DataFrame] = []
-    if bad:
-        # One scan for all checks that look at a single row; only offending rows leave it.
-        marks = [
-            F.struct(
-                F.lit(name).alias("relation"),
-                F.lit(check).alias("check"),
-                F.lit(column).alias("column"),
-                F.when(is_bad, 1).cast("bigint").alias("violations"),
-            )
-            for (check, column), is_bad in bad.items()
-        ]
-        offending = rows.where(reduce(Column.__or__, bad.values()))
-        parts.append(offending.select(F.inline(F.array(*marks))))
-    for column in contract.unique:
-        parts.append(_labelled(expect_unique(rows, column), name, "unique", column, F.lit(1)))
-    for column, (parent, parent_column) in contract.relationships.items():
-        orphans = expect_relationships(rows, column, relations[parent], parent_column)
-        parts.append(_labelled(orphans, name, "relationships", column, F.lit(1)))
-    return parts
+def _code(rows: DataFrame, column: str) -> Column:
+    """A column's values as 64-bit numbers: times and whole numbers as they are, others by their hash."""
+    kind, value = rows.schema[column].dataType, F.col(column)
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(value)
+    if isinstance(kind, T.DateType):
+        return F.unix_date(value).cast("bigint")
+    return value.cast("bigint") if isinstance(kind, T.IntegralType) else F.when(value.isNotNull(), F.xxhash64(value))
+
+
+# A check's number is its key space times this, plus the child's bit, or one of the two below.
+_NUMBERS = 64
+_UNIQUE, _ROW = 62, 61
+
+
+class _Profile:
+    """Key spaces and check numbers of a set of contracts.
+
+    A key space holds the values of one column, and the values of the columns that refer to it. A check of single rows
+    has a space of its own, with one key.
+    """
+
+    def __init__(self, contracts: Mapping[str, Contract]):
+        self.spaces: dict[tuple, int] = {}
+        self.numbers: list[tuple[int, str, str, str]] = []
+        self.children: dict[int, int] = {}
+        for name, contract in contracts.items():
+            for check, column in contract.declared():
+                self.numbers.append((self._number(name, contract, check, column), name, check, column))
+
+    def space(self, *what: str) -> int:
+        return self.spaces.setdefault(what, len(self.spaces))
+
+    def _number(self, name: str, contract: Contract, check: str, column: str) -> int:
+        if check == "unique":
+            return self.space(name, column) * _NUMBERS + _UNIQUE
+        if check != "relationships":
+            return self.space(name, column, check) * _NUMBERS + _ROW
+        space = self.space(*contract.relationships[column])
+        bit = self.children.get(space, 0)
+        self.children[space] = bit + 1
+        return space * _NUMBERS + bit
+
+    def entries(self, name: str, rows: DataFrame, contract: Contract | None) -> DataFrame | None:
+        """(space, key, is_value, bits) of one relation, from one scan: its values, its references, its faulty rows."""
+
+        def entry(present: Column, space: int, key: Column, is_value: bool, bits: int) -> Column:
+            columns = {"space": F.lit(space), "key": key, "is_value": F.lit(int(is_value)).cast("bigint"), "bits": F.lit(bits).cast("bigint")}
+            return F.when(present, F.struct(*[c.alias(n) for n, c in columns.items()]))
+
+        found = []
+        for of, space in self.spaces.items():
+            if len(of) == 2 and of[0] == name:
+                found.append(entry(F.col(of[1]).isNotNull(), space, _code(rows, of[1]), True, 0))
+        for number, owner, check, column in self.numbers:
+            if owner == name and check == "relationships":
+                found.append(entry(F.col(column).isNotNull(), number // _NUMBERS, _code(rows, column), False, 1 << number % _NUMBERS))
+            elif owner == name and check != "unique":
+                faulty = F.col(column).isNull() if check == "not_null" else ~F.col(column).isin(*contract.accepted[column])
+                found.append(entry(faulty, number // _NUMBERS, F.lit(0).cast("bigint"), True, 1 << _ROW))
+        if not found:
+            return None
+        return rows.select(F.inline(F.filter(F.array(*found), lambda e: e.isNotNull())))
 
 
 def run_contracts(contracts: Mapping[str, Contract], relations: Mapping[str, DataFrame]) -> DataFrame:
     """(relation, check, column, violations), one row per declared check.
 
     Violations are offending rows for not_null and accepted_values, offending keys for unique and
-    relationships. All parts are summed by one final aggregation.
+    relationships. Every relation is read once. All keys of all checks are counted by one aggregation over (key
+    space, key), combined before its shuffle; it decides uniqueness and references together, and a second one adds up
+    the violations. Text keys are compared by 64-bit hashes.
     """
-    declared = [(name, check, column, 0) for name, c in contracts.items() for check, column in c.declared()]
+    profile = _Profile(contracts)
     spark = next(iter(relations.values())).sparkSession
-    schema = "relation STRING, `check` STRING, `column` STRING, violations BIGINT"
-    parts = [part for name, contract in contracts.items() for part in _violations(name, contract, relations)]
-    counted = union_all([spark.createDataFrame(declared, schema), *parts])
-    return counted.groupBy("relation", "check", "column").agg(F.sum("violations").alias("violations"))
+    read = {*contracts, *(of[0] for of in profile.spaces)}
+    parts = [profile.entries(name, relations[name], contracts.get(name)) for name in relations if name in read]
+    keys = union_all([p for p in parts if p is not None]).groupBy("space", "key")
+    counted = keys.agg(F.sum("is_value").alias("n"), F.bit_or("bits").alias("bits"))
+
+    def broken(bit: int, is_broken: Column, n: Column) -> Column:
+        number = (F.col("space") * _NUMBERS + bit).alias("number")
+        return F.when(is_broken, F.struct(number, n.cast("bigint").alias("violations")))
+
+    has = lambda bit: F.col("bits").bitwiseAND(F.lit(1 << bit)) != 0
+    referred = [broken(bit, (F.col("n") == 0) & has(bit), F.lit(1)) for bit in range(max(profile.children.values(), default=0))]
+    marks = [broken(_ROW, has(_ROW), F.col("n")), broken(_UNIQUE, (F.col("n") > 1) & ~has(_ROW), F.lit(1)), *referred]
+    found = counted.select(F.inline(F.filter(F.array(*marks), lambda m: m.isNotNull())))
+    named = spark.createDataFrame([(*row, 0) for row in profile.numbers], "number INT, relation STRING, `check` STRING, `column` STRING, violations BIGINT")
+    added = named.unionByName(found, allowMissingColumns=True).groupBy("number")
+    texts = [F.max(c).alias(c) for c in ("relation", "check", "column")]
+    # A value that comes twice in a column without a unique check has a number that no check bears.
+    return added.agg(*texts, F.sum("violations").alias("violations")).where(F.col("relation").isNotNull()).drop("number")
