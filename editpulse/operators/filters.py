@@ -25,7 +25,9 @@ def back(as_of: AsOf, *, days: int = 0, hours: int = 0, minutes: int = 0) -> Col
 
 def date_floor(rows: DataFrame, time_col: str, bound: Column) -> DataFrame:
     """Rows of the partitions that can hold times from ``bound`` on; all rows if not laid out by that time."""
-    partition = {"ingested_at": "ingest_date", "ts": "edit_date"}.get(time_col)
+    partition = {
+        "ingested_at": "ingest_date", "ts": "edit_date", "minute_bucket": "mart_date", "window_start": "mart_date"
+    }.get(time_col)
     return rows.where(F.col(partition) >= F.to_date(bound)) if partition in rows.columns else rows
 
 

@@ -8,7 +8,9 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from editpulse.operators import changes, key_index
 from editpulse.session import new_work_dir
+from editpulse.sources.lookups import set_table_property, table_property
 
 
 def newer_than(source: DataFrame, target: DataFrame, column: str = "ingested_at") -> DataFrame:
@@ -49,6 +51,12 @@ def overwrite_partitions(spark: SparkSession, table: str, rows: DataFrame) -> No
         rows.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
 
 
+def drop_dates(spark: SparkSession, table: str, partition: str, dates: set) -> None:
+    for date in dates:
+        value = "NULL" if date is None else f"DATE '{date}'"
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition} = {value})")
+
+
 def add_new_columns(spark: SparkSession, table: str, rows: DataFrame) -> list[str]:
     """Append the columns ``rows`` has and the table lacks; stored rows read them as NULL."""
     known = {c.lower() for c in spark.table(table).columns}
@@ -67,7 +75,9 @@ def incremental_upsert(
     partition: str = "edit_date",
     work_dir: str | None = None,
     sort_by: Sequence[str] = (),
-) -> None:
+    indexed: bool = False,
+    logged: bool = False,
+) -> set:
     """Upsert ``source`` into a date-partitioned table, rewriting only the dates it touches.
 
     Touched dates are those of the new rows and those where a stored row has one of the new keys.
@@ -77,7 +87,11 @@ def incremental_upsert(
 
     ``edit_id`` alone also replaces an edit of another wiki that has the same number; a composite key such as
     ``("wiki_id", "edit_id")`` does not. Finding the touched dates reads the key of every stored row, unless
-    ``partition`` is part of the key: then only the dates of the new rows are read.
+    ``partition`` is part of the key: then only the dates of the new rows are read. With ``indexed`` a key index beside the
+    table finds them (built by the first load): only its buckets with keys of the load are read, and rows only of touched dates.
+    With ``logged`` the dates go to the table's change log, for tables that are built from it.
+
+    Gives the touched dates.
     """
     add_new_columns(spark, table, source)
     stage = work_dir or new_work_dir(spark, "upsert")
@@ -86,12 +100,20 @@ def incremental_upsert(
     target = spark.table(table)
     names = _names(key)
     touched = {r[0] for r in new.select(partition).distinct().collect()}
-    if partition not in names:
+    if partition not in names and indexed:
+        if key_index.buckets_of(spark, table, names) is None:
+            key_index.build_index(spark, table, names, partition)
+        buckets = key_index.buckets_of(spark, table, names)
+        touched |= key_index.dates_of(spark, table, key_index.hashed(new, names, buckets))
+        key_index.add_keys(spark, table, new, names, buckets, partition)
+    elif partition not in names:
         # The table's dates are its partitions, so this list is as short as the partition list.
         replaced = spark.table(table).join(new.select(*names).distinct(), names, "left_semi")
         touched |= {r[0] for r in replaced.select(partition).distinct().collect()}
     if not touched:
-        return
+        return touched
+    if logged:
+        changes.log_changes(spark, table, touched)
     in_touched = F.coalesce(F.col(partition).isin(*touched), F.lit(None in touched))
     merged = replace_by_key(spark.table(table).where(in_touched), new, key)
     merged.write.partitionBy(partition).parquet(f"{stage}/merged")
@@ -99,12 +121,13 @@ def incremental_upsert(
     remaining = {r[0] for r in staged.select(partition).distinct().collect()}
     # Dates that end up empty go first: they hold replaced rows only, so a load that dies here leaves no row
     # twice and finds the same new rows when it runs again.
-    for date in touched - remaining:
-        value = "NULL" if date is None else f"DATE '{date}'"
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition} = {value})")
+    drop_dates(spark, table, partition, touched - remaining)
     if sort_by:
         staged = staged.repartitionByRange(partition, *sort_by).sortWithinPartitions(partition, *sort_by)
     overwrite_partitions(spark, table, staged)
+    if partition not in names and indexed and key_index.loads(spark, table) > key_index.LOADS_KEPT:
+        key_index.compact(spark, table, names, buckets)
+    return touched
 
 
 # Table property with the high-water mark of the last finished load, in microseconds.
@@ -113,9 +136,9 @@ _LOADED_UNTIL = "editpulse.loaded_until"
 
 def loaded_until(spark: SparkSession, table: str, column: str = "ingested_at") -> int:
     """The table's high-water mark in microseconds: kept by the last load, else read from the rows (0 if there are none)."""
-    kept = [r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect() if r["key"] == _LOADED_UNTIL]
-    if kept:
-        return int(kept[0])
+    kept = table_property(spark, table, _LOADED_UNTIL)
+    if kept is not None:
+        return int(kept)
     return spark.table(table).agg(F.coalesce(F.unix_micros(F.max(column)), F.lit(0))).first()[0]
 
 
@@ -127,7 +150,7 @@ def since(landed: DataFrame, mark: int, column: str = "ingested_at", date: str =
 
 
 def keep_mark(spark: SparkSession, table: str, mark: int) -> None:
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_LOADED_UNTIL}' = '{mark}')")
+    set_table_property(spark, table, _LOADED_UNTIL, str(mark))
 
 
 def load_incrementally(
@@ -137,6 +160,8 @@ def load_incrementally(
     derive: Callable[[DataFrame], DataFrame],
     key: str | Sequence[str] = "edit_id",
     sort_by: Sequence[str] = (),
+    indexed: bool = False,
+    logged: bool = False,
 ) -> None:
     """The scheduled load: ``derive`` of the landed rows above the table's high-water mark, upserted by key.
 
@@ -150,5 +175,5 @@ def load_incrementally(
     newest = new.agg(F.unix_micros(F.max("ingested_at"))).first()[0]
     if newest is None:
         return
-    incremental_upsert(spark, table, new, key=key, sort_by=sort_by)
+    incremental_upsert(spark, table, new, key=key, sort_by=sort_by, indexed=indexed, logged=logged)
     keep_mark(spark, table, newest)

@@ -58,9 +58,14 @@ def trending_per_minute(fact_edit: DataFrame, dim_wiki: DataFrame, dim_page: Dat
     )
 
 
-def _velocity(fact_edit: DataFrame, dim_wiki: DataFrame, dim_page: DataFrame, earlier: Column) -> DataFrame:
+def _velocity(
+    fact_edit: DataFrame, dim_wiki: DataFrame, dim_page: DataFrame, earlier: Column, history: DataFrame | None = None
+) -> DataFrame:
     # After counting, a page has at most one row per minute, so a window per page is bounded by time.
-    counts = edits_per_minute(fact_edit, include_bots=True).withColumn("edits_lag_60", earlier)
+    counts = edits_per_minute(fact_edit, include_bots=True)
+    if history is not None:
+        counts = counts.unionByName(history)
+    counts = counts.withColumn("edits_lag_60", earlier)
     named = with_wiki_and_page(counts, dim_wiki, dim_page, wiki_from="row")
     return named.select(
         "minute_bucket",
@@ -74,10 +79,15 @@ def _velocity(fact_edit: DataFrame, dim_wiki: DataFrame, dim_page: DataFrame, ea
     )
 
 
-def velocity_asis(fact_edit: DataFrame, dim_wiki: DataFrame, dim_page: DataFrame) -> DataFrame:
-    """Change against the page's 60th row back; minutes without edits have no row."""
+def velocity_asis(
+    fact_edit: DataFrame, dim_wiki: DataFrame, dim_page: DataFrame, history: DataFrame | None = None
+) -> DataFrame:
+    """Change against the page's 60th row back; minutes without edits have no row.
+
+    ``history``: counts of minutes before those of ``fact_edit``, as ``edits_per_minute`` gives them.
+    """
     page_minutes = Window.partitionBy("page_id").orderBy("minute_bucket")
-    return _velocity(fact_edit, dim_wiki, dim_page, F.lag("edit_count", 60).over(page_minutes))
+    return _velocity(fact_edit, dim_wiki, dim_page, F.lag("edit_count", 60).over(page_minutes), history)
 
 
 def velocity_60min(fact_edit: DataFrame, dim_wiki: DataFrame, dim_page: DataFrame) -> DataFrame:
@@ -95,6 +105,9 @@ def recent_articles(fact_edit: DataFrame, as_of: AsOf, days: int = 7) -> DataFra
     return date_floor(fact_edit, "ts", start).where((F.col("namespace") == 0) & (F.col("ts") >= start))
 
 
+_BURST = ("anon_edit_count", "total_edit_count", "_reverts")
+
+
 def burst_counts() -> list[Column]:
     """The additive part of the vandalism measures."""
     return [
@@ -113,14 +126,24 @@ def _vandalism(
     dim_wiki: DataFrame,
     dim_page: DataFrame,
     as_of: AsOf,
-    window: Column,
     window_end: Column,
+    sliding: bool = False,
     by_ip: bool = False,
 ) -> DataFrame:
     groups = ["window", "page_id"] + (["ip_class_v4"] if by_ip else [])
     edits = recent_articles(fact_edit, as_of)
-    measured = edits.groupBy(window.alias("window"), *groups[1:]).agg(
-        *burst_counts(),
+    if sliding:
+        # Panes are counted once per page and network; then each goes into the two windows that hold it.
+        network = ["ip_class_v4", "is_anon"]
+        panes = edits.groupBy(F.window("ts", "5 minutes").alias("_pane"), "page_id", *network).agg(*burst_counts())
+        starts = F.array(F.col("_pane.start") - F.expr("INTERVAL 5 MINUTES"), F.col("_pane.start"))
+        counted = panes.select(F.explode(starts).alias("_start"), *groups[1:], *([] if by_ip else ["ip_class_v4"]), "is_anon", *_BURST)
+        counted = counted.withColumn("window", F.struct(F.col("_start").alias("start"), (F.col("_start") + F.expr("INTERVAL 10 MINUTES")).alias("end")))
+        additive = [F.sum(c).alias(c) for c in _BURST]
+    else:
+        counted, additive = edits.withColumn("window", F.window("ts", "5 minutes")), burst_counts()
+    measured = counted.groupBy(*groups).agg(
+        *additive,
         F.count_distinct(F.when(F.col("is_anon"), F.col("ip_class_v4"))).alias("distinct_ip_classes"),
     )
     measured = measured.withColumn("revert_share", ratio(F.col("_reverts"), F.col("total_edit_count")))
@@ -140,7 +163,6 @@ def vandalism_asis(
     """Each edit counts once, in its 5-minute slot; the slot is labelled as 10 minutes long."""
     return _vandalism(
         fact_edit, dim_wiki, dim_page, as_of,
-        window=F.window("ts", "5 minutes"),
         window_end=F.col("window.start") + F.expr("INTERVAL 10 MINUTES"),
     )
 
@@ -151,8 +173,8 @@ def vandalism_sliding(
     """10-minute windows every 5 minutes; each edit counts in both windows that hold it."""
     return _vandalism(
         fact_edit, dim_wiki, dim_page, as_of,
-        window=F.window("ts", "10 minutes", "5 minutes"),
         window_end=F.col("window.end"),
+        sliding=True,
     )
 
 
@@ -162,7 +184,7 @@ def vandalism_sliding_by_ip(
     """The sliding windows per page and /24 network (NULL network: everyone else)."""
     return _vandalism(
         fact_edit, dim_wiki, dim_page, as_of,
-        window=F.window("ts", "10 minutes", "5 minutes"),
         window_end=F.col("window.end"),
+        sliding=True,
         by_ip=True,
     )

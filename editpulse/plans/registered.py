@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from editpulse import schemas
-from editpulse.operators import dims, facts, quality, staging, upsert
+from editpulse.operators import dims, facts, quality, staging, tiles, upsert
 from editpulse.operators.landing import enforce_landing, publish_cap, to_keyed_messages
 from editpulse.plans import marts, serving
 from editpulse.plans.contracts import CONTRACTS, FRESHNESS
-from editpulse.plans.warehouse import FolderWarehouse, relations
+from editpulse.plans.warehouse import CatalogWarehouse, FolderWarehouse, relations
 from editpulse.session import new_work_dir, tune
-from editpulse.sinks.tables import arrange, layout_for
+from editpulse.sinks.tables import arrange, land, land_clickstream, layout_for
 from editpulse.sources import samples
 from editpulse.sources.calendar import dim_time_covering
 from editpulse.sources.envelopes import check_envelopes, ingest_counters, parse_envelope, replay_envelopes, validate_envelopes
@@ -35,6 +35,10 @@ AS_OF = samples.AS_OF
 MIDDAY = "2026-04-01 06:00:00"
 REDELIVERED = "2026-04-01 13:00:00"
 
+# The same with the derived half day stretched over twelve days.
+STRETCHED_MIDDLE = "2026-04-08 06:00:00"
+STRETCHED_AS_OF = "2026-04-13 00:00:00"
+
 _warehouses: dict[tuple[str, str], FolderWarehouse] = {}
 
 
@@ -50,6 +54,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> FolderWarehouse:
                 "raw.stg_clickstream": lambda: samples.clickstream(spark, sf_dir),
                 "raw.messages": lambda: samples.messages(spark, sf_dir),
                 "raw.marks": lambda: samples.marks(spark, sf_dir),
+                "marts.live_tiles": lambda: tiles.live_tiles(warehouse(spark, sf_dir).table("raw.stg_edit")),
             },
             as_of=AS_OF,
         )
@@ -104,7 +109,7 @@ def _incremental_upsert(spark, sf_dir):
     return upsert.replace_by_key(target, upsert.newer_than(source, target), "edit_id")
 
 
-def _incremental_load_stored(spark, sf_dir):
+def _incremental_load_stored(spark, sf_dir, indexed: bool = False):
     """The same two loads through a stored table and its high-water mark."""
     layout = layout_for("core.fact_edit")
     path = new_work_dir(spark, "loaded")
@@ -117,10 +122,71 @@ def _incremental_load_stored(spark, sf_dir):
     def derive(new: DataFrame) -> DataFrame:
         return facts.fact_edit(staging.stg_edit(new)).withColumn("load_no", F.lit(2))
 
-    upsert.load_incrementally(spark, name, landed, derive, sort_by=layout.sort_by)
+    upsert.load_incrementally(spark, name, landed, derive, sort_by=layout.sort_by, indexed=indexed)
     return spark.table(name).drop("edit_date")
 
 
+def _incremental_load_indexed(spark, sf_dir):
+    """The same two loads, the dates of replaced edits found by the key index."""
+    return _incremental_load_stored(spark, sf_dir, indexed=True)
+
+
+def _by_days(edits: DataFrame) -> DataFrame:
+    """Edits with six minutes of the derived time stretched to a day, so that they cover several dates."""
+    stretched = {c: F.timestamp_micros(1775001600000000 + (F.unix_micros(c) - 1775001600000000) * 24) for c in ("ts", "ingested_at")}
+    return edits.withColumns(stretched)
+
+
+def _refreshed(spark, sf_dir) -> CatalogWarehouse:
+    """A catalog warehouse built from the edits up to a middle date, then brought up to the rest by its incremental paths.
+
+    What lands later: the edits after that date, changes of earlier minor ones, and a new and a changed month of counts.
+    """
+    prefix = new_work_dir(spark, "refreshed").rsplit("-", 1)[1][:12]
+    built = CatalogWarehouse(spark, as_of=STRETCHED_AS_OF, location=new_work_dir(spark, "catalog"), prefix=f"r{prefix}_")
+    edits = _by_days(_edits(spark, sf_dir))
+    middle = F.lit(STRETCHED_MIDDLE).cast("timestamp")
+    clicks = samples.clickstream(spark, sf_dir)
+    early = (F.col("dump_month") < F.lit("1997-01-01").cast("date")) & ((F.col("dump_month") != F.lit("1995-06-01").cast("date")) | (F.col("nav_count") < 25))
+    built.store("raw.stg_edit", edits.where(F.col("ingested_at") <= middle))
+    clicks.where(early).withColumn("ingested_at", middle).write.format("parquet").partitionBy("wiki_db", "dump_month").saveAsTable(built.name("raw.stg_clickstream"))
+    built.build()
+    changed = edits.where((F.col("ingested_at") <= middle) & F.col("is_minor") & (F.col("edit_id") % 97 == 0)).withColumns(
+        {"ingested_at": F.lit(STRETCHED_AS_OF).cast("timestamp"), "comment": F.lit("undo")}
+    )
+    later = edits.where(F.col("ingested_at") > middle).unionByName(changed)
+    land(later, built.name("raw.stg_edit"))
+    late = clicks.where(~early).withColumn("ingested_at", F.lit(STRETCHED_AS_OF).cast("timestamp"))
+    land_clickstream(spark, late, built.name("raw.stg_clickstream"))
+    built.build()
+    return built
+
+
+_refreshed_once: dict[tuple[str, str], CatalogWarehouse] = {}
+
+
+def _refreshed_table(name: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in _refreshed_once:
+            _refreshed_once[key] = _refreshed(spark, sf_dir)
+        rows = _refreshed_once[key].table(name)
+        return rows.drop("mart_date")
+
+    return query
+
+
+def _live_kpis_tiles(spark, sf_dir):
+    """The indicators of 500 and a half minutes from stored tiles; the estimated editors only say whether they are near the exact count."""
+    stored = warehouse(spark, sf_dir)
+    edits = stored.table("raw.stg_edit")
+    as_of = "2026-04-01 11:59:30"
+    found = tiles.live_kpis_from_tiles(stored.table("marts.live_tiles"), edits, as_of=as_of, window_min=500)
+    exact = serving.live_kpis(edits, as_of=as_of, window_min=500).select(F.col("editors").alias("_exact"), F.col("edits").alias("_edits"))
+    near = F.abs(F.col("editors") - F.col("_exact")) <= 0.06 * F.col("_exact")
+    return found.withColumn("_edits", F.col("edits")).join(exact, "_edits").withColumn("editors_near", near).drop("editors", "_exact", "_edits")
+
+
 def _seed_if_absent(spark, sf_dir):
     minutes = dim_time_covering(_edits(spark, sf_dir))
     present = minutes.where(F.col("ts") < F.lit(MIDDAY).cast("timestamp"))
@@ -317,6 +383,11 @@ _QUERIES: dict[str, Query] = {
     "fact_clickstream": lambda s, d: facts.fact_clickstream(s, _stg_clicks(s, d)),
     "incremental_upsert": _incremental_upsert,
     "incremental_load_stored": _incremental_load_stored,
+    "incremental_load_indexed": _incremental_load_indexed,
+    "refreshed_trending": _refreshed_table("marts.trending_per_minute"),
+    "refreshed_velocity": _refreshed_table("marts.edit_velocity"),
+    "refreshed_vandalism": _refreshed_table("marts.vandalism_candidates"),
+    "refreshed_clickstream": _refreshed_table("core.fact_clickstream"),
     "seed_if_absent": _seed_if_absent,
     "trending_per_minute": _star(marts.trending_per_minute),
     "velocity_asis": _star(marts.velocity_asis),
@@ -328,6 +399,7 @@ _QUERIES: dict[str, Query] = {
     "live_kpis_filtered": _raw(
         serving.live_kpis, window_min=180, wiki="enwiki", namespace=0, editor_class="humans"
     ),
+    "live_kpis_tiles": _live_kpis_tiles,
     "kpi_delta": _raw(serving.kpi_delta, window_min=60, editor_class="anonymous"),
     "kpi_delta_same_filter": _raw(serving.kpi_delta, window_min=60, editor_class="anonymous", same_filter=True),
     "edit_timeline": _raw(serving.edit_timeline, window_min=180),

@@ -10,6 +10,7 @@ from editpulse.operators import dims, facts, staging
 from editpulse.operators.filters import AsOf
 from editpulse.operators.upsert import load_incrementally
 from editpulse.plans import marts
+from editpulse.plans.refresh import refresh_clickstream, refresh_mart
 from editpulse.sinks.tables import arrange, create_namespaces, layout_for, materialize_table, seed_if_absent
 from editpulse.sources.calendar import build_dim_time, dim_time_covering
 from editpulse.sources.lookups import table_exists
@@ -72,25 +73,34 @@ class CatalogWarehouse(_Relations):
     def store(self, name: str, rows: DataFrame) -> None:
         materialize_table(rows, self.name(name), layout_for(name))
 
-    def build(self, full_refresh: bool = False) -> None:
-        """Dimensions and marts are rebuilt; the edit fact only takes what landed since the last build."""
+    def build(self, full_refresh: bool = False) -> dict[str, set | None]:
+        """Dimensions are rebuilt; the edit fact takes what landed since the last build, and marts and the navigation
+        fact recompute what that changed. Gives the dates or months written per refreshed relation (None: all).
+        """
         # The usual year, and whatever minutes the edits reach beyond it.
         for minutes in (build_dim_time(self.spark), dim_time_covering(self.table("raw.stg_edit"))):
             seed_if_absent(self.spark, minutes, self.name("core.dim_time"), "time_id")
         for name in DIMS:
             self.store(name, self.derive(name))
-        if full_refresh or self.find("core.fact_edit") is None:
+        whole = full_refresh or self.find("core.fact_edit") is None
+        fact = self.name("core.fact_edit")
+        if whole:
             self.store("core.fact_edit", self.derive("core.fact_edit"))
         else:
             load_incrementally(
                 self.spark,
-                self.name("core.fact_edit"),
+                fact,
                 self.table("raw.stg_edit"),
                 lambda landed: facts.fact_edit(staging.stg_edit(landed)),
                 sort_by=layout_for("core.fact_edit").sort_by,
+                indexed=True,
+                logged=True,
             )
-        for name in ("core.fact_clickstream", *MARTS):
-            self.store(name, self.derive(name))
+        clicks = self.name("core.fact_clickstream")
+        written = {"core.fact_clickstream": refresh_clickstream(self.spark, clicks, self.table("raw.stg_clickstream"), staging.stg_clickstream, whole)}
+        for name in MARTS:
+            written[name] = refresh_mart(self.spark, self.name(name), name, fact, *self.star()[1:], as_of=self.as_of, whole=whole)
+        return written
 
 
 class FolderWarehouse(_Relations):

@@ -32,6 +32,10 @@ class Layout:
     split: bool = True
 
 
+# Marts lie by date, so that a load replaces only the dates it changed.
+_BY_MINUTE = ("mart_date",), {"mart_date": "to_date(minute_bucket)"}
+_BY_WINDOW = ("mart_date",), {"mart_date": "to_date(window_start)"}
+
 LAYOUTS: dict[str, Layout] = {
     "raw.stg_edit": Layout(
         ("edit_date", "ingest_date"),
@@ -45,9 +49,12 @@ LAYOUTS: dict[str, Layout] = {
     "core.dim_editor": Layout(sort_by=("editor_id",)),
     "core.fact_edit": Layout(("edit_date",), {"edit_date": "to_date(ts)"}, ("page_id", "ts", "edit_id")),
     "core.fact_clickstream": Layout(("wiki_id", "dump_month"), None, ("target_page_id", "fc_id"), split=False),
-    "marts.trending_per_minute": Layout(sort_by=("minute_bucket", "rank_in_minute", "page_id")),
-    "marts.edit_velocity": Layout(sort_by=("minute_bucket", "page_id")),
-    "marts.vandalism_candidates": Layout(sort_by=("window_start", "page_id")),
+    "marts.live_tiles": Layout(("tile_date",), {"tile_date": "to_date(tile_end)"}, ("tile_end", "wiki_db")),
+    "marts.trending_per_minute": Layout(*_BY_MINUTE, ("minute_bucket", "rank_in_minute", "page_id")),
+    "marts.edit_velocity": Layout(*_BY_MINUTE, ("minute_bucket", "page_id")),
+    "marts.edit_velocity_60min": Layout(*_BY_MINUTE, ("minute_bucket", "page_id")),
+    "marts.vandalism_candidates": Layout(*_BY_WINDOW, ("window_start", "page_id")),
+    "marts.vandalism_sliding": Layout(*_BY_WINDOW, ("window_start", "page_id")),
 }
 
 
@@ -100,6 +107,13 @@ def seed_if_absent(spark: SparkSession, rows: DataFrame, table: str, key: str) -
     add_missing(target, rows.select(*target.columns), key).write.insertInto(table)
 
 
+def land(rows: DataFrame, table: str) -> None:
+    """Append rows to a stored table, in its layout: derived columns are added, others must be there."""
+    columns = rows.sparkSession.table(table).columns
+    known = next((layout for name, layout in LAYOUTS.items() if table.endswith(name)), Layout())
+    arrange(rows, known).select(*columns).write.insertInto(table)
+
+
 def land_clickstream(spark: SparkSession, rows: DataFrame, table: str = "raw.stg_clickstream", mode: str = "append") -> None:
     """Land one dump. ``append`` adds rows on every call; ``replace_month`` makes a rerun harmless."""
     if mode not in ("append", "replace_month"):
