@@ -33,7 +33,8 @@ _FIXED = rf"(?:{_DATE}|{_SSN}|{_LOCAL_PHONE}){_STOP}"
 _OWN = f"(?!{_FIXED})"
 
 KINDS = (
-    Kind("email", r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
+    # A host has at most 127 labels; the bound also keeps Java from recursing for each label of a long run.
+    Kind("email", r"[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.){1,126}[A-Za-z]{2,}"),
     Kind("date", _DATE),
     Kind("ipv4", rf"{_OCTET}(?:\.{_OCTET}){{3}}"),
     Kind("ssn", _SSN),
@@ -116,20 +117,41 @@ def _filled(format_: Column, digits: Column) -> Column:
 
 
 def _email(key: str, value: Column) -> Column:
-    """Letters and digits of the part before @ become keyed ones of the same sort; the domain a reserved one."""
+    """The part before @, lower-cased, permuted among those with letters and digits in the same places; the domain stays.
+
+    A Feistel network over characters: in each round those at even or odd places are shifted by a keyed stream drawn from
+    the others, so different addresses of a domain keep different pseudonyms.
+    """
     at = F.instr(value, "@")
     local, domain = F.substring(F.lower(value), F.lit(1), at - 1), F.substring(value, at, F.length(value))
-    stream = F.lower(F.concat(*[F.sha2(F.concat_ws("|", F.lit(key), F.lit("email"), F.lit(str(i)), F.lower(value)), 512) for i in range(2)]))
-    parts = F.split(local, "(?<=.)(?=.)")
     letters = "abcdefghijklmnopqrstuvwxyz"
 
-    def swap(char: Column, i: Column) -> Column:
-        drawn = F.conv(F.substring(stream, (i % 60) * 4 + 1, F.lit(4)), 16, 10).cast("int")
-        letter = (char >= "a") & (char <= "z")
-        number = (char >= "0") & (char <= "9")
-        return F.when(letter, F.substring(F.lit(letters), drawn % 26 + 1, F.lit(1))).when(number, (drawn % 10).cast("string")).otherwise(char)
+    def code(char: Column) -> Column:
+        """0 to 25 for letters, 100 to 109 for digits, -1 for what stays."""
+        return F.when(char.between("a", "z"), F.ascii(char) - 97).when(char.between("0", "9"), F.ascii(char) + 52).otherwise(-1)
+
+    def turn(state: Column, step: Column) -> Column:
+        others = F.array_join(F.transform(state, lambda c, i: F.when(i % 2 != step % 2, c.cast("string")).otherwise("")), ",")
+        stream = F.sha2(F.concat_ws("|", F.lit(key), F.lit("email"), F.lower(domain), step.cast("string"), others), 512)
+
+        def shifted(drawn: Column) -> Column:
+            def shift(c: Column, i: Column) -> Column:
+                by = F.conv(F.substring(drawn, ((i / 2).cast("int") % 32) * 4 + 1, F.lit(4)), 16, 10).cast("int")
+                moved = F.when(c < 26, (c + by) % 26).otherwise((c - 100 + by) % 10 + 100)
+                return F.when((c < 0) | (i % 2 != step % 2), c).otherwise(moved)
+
+            return F.transform(state, shift)
+
+        # The stream becomes a variable, so that it is drawn once and not once for each character.
+        return F.element_at(F.transform(F.array(stream), shifted), 1)
+
+    parts = F.split(local, "(?<=.)(?=.)")
+    codes = F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), F.transform(parts, code), turn)
 
-    return F.concat(F.array_join(F.transform(parts, swap), ""), domain)
+    def char(c: Column, old: Column) -> Column:
+        return F.when(c < 0, old).when(c < 26, F.substring(F.lit(letters), c + 1, F.lit(1))).otherwise((c - 100).cast("string"))
+
+    return F.concat(F.array_join(F.zip_with(codes, parts, char), ""), domain)
 
 
 def _date(key: str, value: Column) -> Column:
@@ -154,10 +176,41 @@ def _card(key: str, value: Column) -> Column:
     return _filled(value, F.concat(body, check.cast("string")))
 
 
-def _numbered(key: str, kind: str, value: Column, kept: Column) -> Column:
-    """Digits permuted in their places, but for the first ``kept`` characters (a country code)."""
+def _ssn(key: str, value: Column) -> Column:
+    """Permuted among the numbers that are given out: areas 001 to 899 but 666, groups 01 to 99, serials 0001 to 9999."""
+    area, group, serial = (F.substring(value, at, n).cast("bigint") for at, n in ((1, 3), (5, 2), (8, 4)))
+    pair = _feistel(key, F.lit("ssn"), area - 1 - (area > 666).cast("int"), (group - 1) * 9999 + serial - 1, F.lit(898), F.lit(99 * 9999))
+    new_area = pair["l"] + 1 + (pair["l"] >= 665).cast("int")
+    new_group, new_serial = F.floor(pair["r"] / 9999) + 1, pair["r"] % 9999 + 1
+    return F.concat_ws("-", *[F.lpad(x.cast("string"), n, "0") for x, n in ((new_area, 3), (new_group, 2), (new_serial, 4))])
+
+
+def _phone(key: str, value: Column, kept: Column) -> Column:
+    """Digits permuted in their places, but for the first ``kept`` characters (a country code).
+
+    A number that begins with 2 to 9 is permuted among those that do, and one that begins with 0 or 1 likewise; of ten digits,
+    as area, exchange and line, the same holds for the fourth.
+    """
     head, tail = F.substring(value, F.lit(1), kept), F.substring(value, kept + 1, F.length(value))
-    return F.concat(head, _filled(tail, _digits_permuted(key, F.lit(kind), F.regexp_replace(tail, "[^0-9]", ""))))
+    digits = F.regexp_replace(tail, "[^0-9]", "")
+    n = F.length(digits)
+    half = F.when(n == 10, 3).otherwise((n / 2).cast("int"))
+    left, right = F.substring(digits, F.lit(1), half), F.substring(digits, half + 1, n)
+
+    def low(part: Column, narrowed: Column) -> Column:
+        """(what a part's first digit begins at, how many it may be), as multiples of its place."""
+        return F.when(~narrowed, F.struct(F.lit(0).alias("from"), F.lit(10).alias("of"))).when(
+            F.substring(part, 1, 1) >= "2", F.struct(F.lit(2).alias("from"), F.lit(8).alias("of"))
+        ).otherwise(F.struct(F.lit(0).alias("from"), F.lit(2).alias("of")))
+
+    def permuted(l_from: Column, r_from: Column) -> Column:
+        l_place, r_place = _power(half - 1), _power(n - half - 1)
+        l_start, r_start = l_from["from"] * l_place, r_from["from"] * r_place
+        tweak = F.concat_ws("|", F.lit("phone"), n.cast("string"), l_from["from"].cast("string"), r_from["from"].cast("string"))
+        pair = _feistel(key, tweak, left.cast("bigint") - l_start, right.cast("bigint") - r_start, l_from["of"] * l_place, r_from["of"] * r_place)
+        return F.concat(F.lpad((pair["l"] + l_start).cast("string"), half, "0"), F.lpad((pair["r"] + r_start).cast("string"), n - half, "0"))
+
+    return F.concat(head, _filled(tail, permuted(low(left, F.lit(True)), low(right, n == 10))))
 
 
 def _kind_of(value: Column) -> Column:
@@ -230,9 +283,9 @@ def pseudonym(key: str, kind: Column, value: Column) -> Column:
         F.when(kind == "email", _email(key, value))
         .when(kind == "date", _date(key, value))
         .when(kind == "ipv4", _ipv4(key, value))
-        .when(kind == "ssn", _numbered(key, "ssn", value, F.lit(0)))
+        .when(kind == "ssn", _ssn(key, value))
         .when(kind == "card", _card(key, value))
-        .when(kind == "phone", _numbered(key, "phone", value, prefix))
+        .when(kind == "phone", _phone(key, value, prefix))
         .otherwise(value)
     )
 
@@ -245,7 +298,8 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", found: str = "pi
     numbers: 3-3-4 with separators, or + and 7 to 15 digits. Other phone layouts can't be told from plain
     numbers and stay. Fixed layouts win over longer runs of digits. Numbers and dates are
     permuted by a keyed Feistel network within their format: digits change in their places, a card
-    stays valid, a date a date, an address an address; country codes and email domains stay. Equal
+    stays valid, a social security number one that can be given out, a date a date, an address an address; a phone number's
+    first digit stays below 2 or not; country codes and email domains stay. Hosts of more than 127 labels make no email. Equal
     values get equal pseudonyms in all documents, for cards and phones also if spaced differently. The same
     key gives the same pseudonyms; without it they can't be undone or linked to the values.
 
