@@ -53,6 +53,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYT
             stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    # Workers live on after a task, beside the JVM: what the allocator keeps for later goes back.
+    pa.default_memory_pool().release_unused()
 
 
 def flat(lists: pa.Array) -> tuple[pa.Array, np.ndarray]:

@@ -114,7 +114,7 @@ def test_memory_of_words_is_bounded(monkeypatch, texts):
     for text in [t or "" for t in texts[:40]]:
         ids, _ = encode(pa.array([text], pa.large_string()))
         assert list(ids) == encoded(text, 0)[:-1]
-    assert len(encode.slots) == 20
+    assert encode.places.count == 20
 
 
 def test_token_files_round_trip(spark, docs, texts, empty):
@@ -485,3 +485,33 @@ def test_pipeline(spark):
         step = out
     left = {r.doc_id for r in step.select("doc_id").collect()}
     assert left == {r.doc_id for r in rows.select("doc_id").distinct().collect()}
+
+
+def test_pseudonyms_stay_valid_and_differ(spark):
+    table(spark, SF_DIR, "documents")
+    rng = random.Random(12)
+    ssns = sorted({f"{rng.choice([*range(1, 666), *range(667, 900)]):03d}-{rng.randint(1, 99):02d}-{rng.randint(1, 9999):04d}" for _ in range(3000)})
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    emails = [f"{a}{b}@mail.org" for a in letters for b in letters] + [f"{a}@x.org" for a in letters] + [f"a{d}.{c}-b@x.org" for d in range(10) for c in letters]
+    phones = sorted({f"{rng.randint(200, 999)}-{rng.randint(200, 999)}-{rng.randint(0, 9999):04d}" for _ in range(2000)})
+    rows = [(kind, v) for kind, values in (("ssn", ssns), ("email", emails), ("phone", phones)) for v in values]
+    done = pseudonyms.pseudonymise(spark.createDataFrame(rows, "kind string, text string"), "k").collect()
+    by = defaultdict(list)
+    for r in done:
+        assert [p.kind for p in r.pii] == [r.kind], r
+        by[r.kind].append(r.text)
+    for kind, values in (("ssn", ssns), ("email", emails), ("phone", phones)):
+        assert len(set(by[kind])) == len(values), kind
+    assert all(re.fullmatch(r"(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}", v) for v in by["ssn"])
+    assert all(re.fullmatch(r"[2-9]\d\d-[2-9]\d\d-\d{4}", v) for v in by["phone"])
+    assert sum(a == b for a, b in zip(sorted(by["email"]), sorted(emails))) < len(emails)
+    again = pseudonyms.pseudonymise(spark.createDataFrame([("Ab@mail.org and ab@mail.org",)], "text string"), "k").first()
+    assert again.pii[0].value == again.pii[1].value and again.pii[0].value in by["email"]
+
+
+@pytest.mark.parametrize("piece", ["a.", "a@", "a-", "1-", "1 ", "1.", "+1", "(1", "123-45-", "2024-01-", "4111 ", "+1 (2) ", "a@a.", "x@1.2."])
+def test_long_runs_do_not_end_the_search(spark, piece):
+    table(spark, SF_DIR, "documents")
+    text = f"x a@{piece * (400_000 // len(piece))}com and 10.0.0.1"
+    row = pseudonyms.pseudonymise(spark.createDataFrame([(text,)], "text string"), "k").first()
+    assert row.text.endswith(row.pii[-1].value) and row.pii[-1].kind == "ipv4" and not row.text.endswith("10.0.0.1")
