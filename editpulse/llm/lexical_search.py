@@ -82,6 +82,7 @@ def indexed(spark: SparkSession, docs: DataFrame, terms: DataFrame) -> DataFrame
     Slots of a lane follow the doc_ids (nulls first), so that ties go to the smaller slot.
     """
     wanted = spark.sparkContext.broadcast(_bitmap(terms))
+    most_documents, most_postings = LANE_DOCUMENTS, LANE_POSTINGS
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lane = TaskContext.get().partitionId() << 32
@@ -106,8 +107,8 @@ def indexed(spark: SparkSession, docs: DataFrame, terms: DataFrame) -> DataFrame
             length = np.diff(offsets)
             start = 0
             while start < batch.num_rows:
-                room = int(np.searchsorted(ends, ends[start] + LANE_POSTINGS - postings, side="right")) - 1
-                stop = min(max(start + (not held), room), start + LANE_DOCUMENTS - documents, batch.num_rows)
+                room = int(np.searchsorted(ends, ends[start] + most_postings - postings, side="right")) - 1
+                stop = min(max(start + (not held), room), start + most_documents - documents, batch.num_rows)
                 if stop > start:
                     a, b = ends[start], ends[stop]
                     bounds = pa.array((ends[start : stop + 1] - a).astype(np.int32))
