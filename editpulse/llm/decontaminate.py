@@ -115,26 +115,35 @@ def exact(pattern: np.ndarray, text: np.ndarray) -> tuple[int, int, int] | None:
 def aligned(pattern: np.ndarray, text: np.ndarray, most: int) -> tuple[int, int, int] | None:
     """(edits, start, end) of the substring of ``text`` nearest to ``pattern``, or None beyond ``most`` edits.
 
-    One row of the alignment table per pattern character over the region only, which the diagonal
-    band has made barely longer than the pattern. Of equal distances the earliest end counts.
+    Only a band of diagonals is filled: with ``most`` edits no path leaves those from -most to that many beyond the
+    ones on which the pattern's end meets the text's. Of equal distances the earliest end counts.
     """
-    n = len(text)
-    steps = np.arange(n + 1)
-    cost, start = np.zeros(n + 1, np.int64), steps.copy()
+    m, n = len(pattern), len(text)
+    low, high = -most, n - m + most
+    width = high - low + 1
+    if width <= 0:
+        return None
+    diagonal = np.arange(low, high + 1)
     big = np.int64(1 << 32)
+    far = (m + n + 1) * big
+    steps = np.arange(width) * big
+    # Cost and start as one number, so that equal costs take the earliest start.
+    key = np.where((diagonal >= 0) & (diagonal <= n), diagonal, far)
+    padded = np.zeros(n + 2 * (m + width), np.uint32)
+    padded[m + width : m + width + n] = text
     for k, char in enumerate(pattern):
-        # Cost and start as one number, so that equal costs take the earliest start.
-        key = np.empty(n + 1, np.int64)
-        key[0] = (k + 1) * big
-        down = (cost[1:] + 1) * big + start[1:]
-        across = (cost[:-1] + (text != char)) * big + start[:-1]
-        key[1:] = np.minimum(down, across)
-        key = np.minimum.accumulate(key - steps * big) + steps * big
-        cost, start = key >> 32, key & (big - 1)
-        if cost.min() > most:
+        at = m + width + k + low
+        across = key + np.where(padded[at : at + width] != char, big, 0)
+        across[:-1] = np.minimum(across[:-1], key[1:] + big)
+        # Before the text's begin and behind its end there is nothing.
+        across[: max(0, -low - k - 1)] = far
+        across[max(0, n - k - low) :] = far
+        key = np.minimum.accumulate(across - steps) + steps
+        if key.min() >= (most + 1) * big:
             return None
-    end = int(np.argmin(cost))
-    return (int(cost[end]), int(start[end]), end) if cost[end] <= most else None
+    key[max(0, n - m - low + 1) :] = far
+    end = int(np.argmin(key >> 32))
+    return (int(key[end] >> 32), int(key[end] & (big - 1)), end + low + m) if key[end] >> 32 <= most else None
 
 
 def _regions(block: Block, code: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
