@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 # Captures of one host are dealt to this many parts; each list interval is repeated as often.
 SALTS = 32
 _URL = r"^\s*[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)(?::[0-9]*)?([^?#]*)"
+LONGEST_HOST = 253
 FOREVER = "9999-12-31 00:00:00"
 
 
 def host_of(url: str) -> Column:
-    """Lower-case host without user, port and final dot; '' if there is none."""
-    return F.rtrim(F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), _URL, 1)), F.lit("."))
+    """Lower-case host without user, port and final dot; '' if there is none, or if it is longer than a host can be."""
+    host = F.rtrim(F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), _URL, 1)), F.lit("."))
+    return F.when(F.length(host) <= LONGEST_HOST, host).otherwise("")
 
 
 def path_of(url: str) -> Column:
@@ -58,7 +60,7 @@ def asof_filter(captures: DataFrame, intervals: DataFrame, salts: int = SALTS) -
     """Every distinct capture (page_id, url, fetch_time) with the list entries active when it was fetched.
 
     Adds host, copies (equal rows), n_active, lists (sorted names), first_entry (the earliest listed, then
-    by name) and blocked. Captures without a host or fetch time match nothing and stay.
+    by name) and blocked. Captures without a host (of at most 253 characters) or fetch time match nothing and stay.
 
     A capture is exploded to its few possible entries and joined on (entry, salt) with
     valid_from <= fetch_time < valid_to: intervals of one entry on one list never overlap, so a
