@@ -68,6 +68,10 @@ _RULES = (
     "n_words >= 10 AND 100 * n_upper > 50 * word_chars", "n_words >= 10 AND 100 * n_shouts > 30 * n_words",
     "n_words >= 10 AND word_chars < 2 * n_words", "word_chars > 20 * n_words", "longest_word > 1000",
 )
+_RULE_NAMES = (
+    "few_words", "repeated_windows", "symbols", "duplicate_lines", "duplicate_line_text", "upper_case", "exclamations", "short_words", "long_words", "endless_word",
+)
+_ONLY = " ".join(f"WHEN {1 << place} THEN '{name}'" for place, name in enumerate(_RULE_NAMES))
 _BITS = " + ".join(f"CASE WHEN {rule} THEN {1 << place} ELSE 0 END" for place, rule in enumerate(_RULES))
 
 _OP6 = rf"""
@@ -92,7 +96,8 @@ measured AS (
     coalesce(list_max(list_transform(w, lambda x: length(x))), 0) AS longest_word
   FROM texts LEFT JOIN covered USING (doc_id) LEFT JOIN line_sums USING (doc_id)),
 judged AS (SELECT *, ({_BITS})::BIGINT AS failed FROM measured)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 <> 0 AS base_failed, failed = 0 AS kept, failed FROM judged"""
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 <> 0 AS base_failed, failed = 0 AS kept, failed,
+  failed & 127 = 0 AS kept_v2, count(*) OVER (PARTITION BY failed) AS n_pattern, CASE failed {_ONLY} END AS only_rule FROM judged"""
 
 _OP11 = rf"""
 WITH RECURSIVE crc_step(n, k, v) AS (

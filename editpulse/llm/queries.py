@@ -97,11 +97,21 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ledger = quality_ledger.rule_ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    base = ~quality_ledger.kept_by(quality_ledger.POLICIES["v1"])
-    return ledger.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"),
-        quality_ledger.kept_by(quality_ledger.POLICIES["v3"]).alias("kept"), "failed",
+    """The ledger with the verdicts of all policies; per document also what one rule more or less would change.
+
+    n_pattern counts the documents with the same failed rules: the patterns, at most two to the number of rules, are what
+    ablations add up. only_rule is the one rule without which policy v3 would keep the document (null if there is none).
+    """
+    texts = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ledger = stored(spark, quality_ledger.rule_ledger(texts), "ledger")
+    patterns = ledger.groupBy("failed").agg(F.count(F.lit(1)).alias("n_pattern"))
+    wanted = F.col("failed").bitwiseAND(F.lit(quality_ledger.mask(quality_ledger.POLICIES["v3"])))
+    rules = F.array(*[F.when(wanted == 1 << place, rule.name) for place, rule in enumerate(quality_ledger.RULES)])
+    verdicts = {f"kept_{name}": quality_ledger.kept_by(policy) for name, policy in quality_ledger.POLICIES.items()}
+    return ledger.join(patterns, "failed").select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~verdicts["kept_v1"]).alias("base_failed"),
+        verdicts["kept_v3"].alias("kept"), "failed", verdicts["kept_v2"].alias("kept_v2"), "n_pattern",
+        F.coalesce(*[F.get(rules, F.lit(place)) for place in range(len(quality_ledger.RULES))]).alias("only_rule"),
     )
 
 
