@@ -8,19 +8,18 @@ rows; the index may name dates that no longer hold a key, never miss one that do
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from editpulse.operators import bloom
 from editpulse.session import new_work_dir
 from editpulse.sources.lookups import set_table_property, table_exists, table_property
 
 # Keys of one bucket when an index is built; a bucket is what a load reads at least.
 _KEYS_PER_BUCKET, _MOST_BUCKETS = 2_000_000, 4096
-# Spark's bitmap functions make bitmaps of so many bits: a block of a filter. With ten bits for a key and four
-# probes, about one key in eighty that is not there passes.
-_BLOCK_BITS, _KEYS_PER_BLOCK, _PROBES = 32768, 3200, 4
+# One filter for each bucket of each load.
+_BY = ("load", "bucket")
 # Loads after which the index is written anew, with the newest rows of each key alone.
 LOADS_KEPT = 16
 
@@ -51,33 +50,12 @@ def hashed(rows: DataFrame, key: Sequence[str], buckets: int, *more: str) -> Dat
     return rows.select(F.pmod(code, F.lit(buckets)).cast("int").alias("bucket"), code.alias("key_hash"), *more).distinct()
 
 
-def _block(blocks: Column) -> Column:
-    return F.pmod(F.shiftright("key_hash", 8), blocks).cast("int")
-
-
-def _probes() -> list[Column]:
-    return [F.pmod(F.xxhash64("key_hash", F.lit(probe)), F.lit(_BLOCK_BITS)) for probe in range(_PROBES)]
-
-
-def _is_set(bits: Column, place: Column) -> Column:
-    byte = F.conv(F.hex(F.substring(bits, (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return byte.bitwiseAND(F.pow(F.lit(2), place % 8).cast("int")) != 0
-
-
-def _filters(keys: DataFrame) -> DataFrame:
-    """One bitmap for each block of each bucket of each load."""
-    sizes = keys.groupBy("load", "bucket").agg(F.ceil(F.count(F.lit(1)) / _KEYS_PER_BLOCK).cast("int").alias("blocks"))
-    placed = keys.join(sizes, ["load", "bucket"]).withColumn("block", _block(F.col("blocks")))
-    bits = placed.select("load", "blocks", "block", "bucket", F.explode(F.array(*_probes())).alias("place"))
-    return bits.groupBy("load", "blocks", "block", "bucket").agg(F.bitmap_construct_agg("place").alias("bits"))
-
-
 def _write(spark: SparkSession, table: str, keys: DataFrame, mode: str) -> None:
     """Store index rows, one file a bucket, ordered by hash so that row groups have narrow ranges."""
     stage = new_work_dir(spark, "keys")
     keys.write.parquet(stage)
     staged = spark.read.schema(keys.schema).parquet(stage)
-    for name, rows, order in ((keys_table(table), staged, "key_hash"), (filters_table(table), _filters(staged), "block")):
+    for name, rows, order in ((keys_table(table), staged, "key_hash"), (filters_table(table), bloom.filters_of(staged, _BY), "block")):
         columns = [c for c in rows.columns if c != "bucket"]
         sorted_rows = rows.select(*columns, "bucket").repartition("bucket").sortWithinPartitions("bucket", order)
         if mode == "append" and table_exists(spark, name):
@@ -143,10 +121,7 @@ def _buckets(keys: DataFrame) -> list[int]:
 def passed(spark: SparkSession, table: str, keys: DataFrame) -> DataFrame:
     """The (bucket, key_hash) of ``keys`` that a filter lets pass: all that are stored, and few others."""
     filters = _in_buckets(spark.table(filters_table(table)), _buckets(keys))
-    loads = filters.select("bucket", "load", "blocks").distinct()
-    asked = keys.join(loads, "bucket").withColumn("block", _block(F.col("blocks")))
-    met = asked.join(filters.drop("blocks"), ["bucket", "load", "block"])
-    return met.where(reduce(Column.__and__, [_is_set(F.col("bits"), place) for place in _probes()])).select("bucket", "key_hash").distinct()
+    return bloom.passing(keys, filters, _BY, ["bucket"])
 
 
 def entries(spark: SparkSession, table: str, keys: DataFrame) -> DataFrame:

@@ -123,7 +123,8 @@ def incremental_upsert(
     # twice and finds the same new rows when it runs again.
     drop_dates(spark, table, partition, touched - remaining)
     if sort_by:
-        staged = staged.repartitionByRange(partition, *sort_by).sortWithinPartitions(partition, *sort_by)
+        order = [partition, *map(F.expr, sort_by)]
+        staged = staged.repartitionByRange(*order).sortWithinPartitions(*order)
     overwrite_partitions(spark, table, staged)
     if partition not in names and indexed and key_index.loads(spark, table) > key_index.LOADS_KEPT:
         key_index.compact(spark, table, names, buckets)

@@ -14,6 +14,7 @@ from editpulse.operators.facts import fact_clickstream
 from editpulse.operators.filters import AsOf, back
 from editpulse.operators.upsert import drop_dates, overwrite_partitions
 from editpulse.plans import marts
+from editpulse.plans.descriptions import described
 from editpulse.session import new_work_dir
 from editpulse.sinks.tables import arrange, layout_for, materialize_table
 from editpulse.sources.lookups import set_table_property, table_exists, table_property
@@ -96,7 +97,7 @@ def refresh_mart(
     seen = changes.seen_change(spark, mart) if table_exists(spark, mart) else None
     changed = changes.changed_dates(spark, fact_table, seen, until) if seen is not None else {None}
     if whole or None in changed:
-        materialize_table(_derive(name, fact, dim_wiki, dim_page, as_of, None), mart, layout)
+        materialize_table(_derive(name, fact, dim_wiki, dim_page, as_of, None), mart, layout, described)
         changes.mark_seen(spark, mart, until)
         return None
     stored = spark.table(mart)
@@ -142,7 +143,7 @@ def refresh_clickstream(spark: SparkSession, table: str, landed: DataFrame, stag
     mark = table_property(spark, table, _NUMBERED_UNTIL) if table_exists(spark, table) else None
     layout = layout_for("core.fact_clickstream")
     if whole or mark is None or newest is None:
-        materialize_table(fact_clickstream(spark, stage_rows(landed)), table, layout)
+        materialize_table(fact_clickstream(spark, stage_rows(landed)), table, layout, described)
         set_table_property(spark, table, _NUMBERED_UNTIL, str(newest or 0))
         return None
     since, until = (F.timestamp_micros(F.lit(m).cast("bigint")) for m in (int(mark), newest))
@@ -177,6 +178,6 @@ def refresh_clickstream(spark: SparkSession, table: str, landed: DataFrame, stag
     for wiki, month in gone:
         where = [f"{n} = {'NULL' if v is None else kind + repr(str(v))}" for n, v, kind in (("wiki_id", wiki, ""), ("dump_month", month, "DATE "))]
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({', '.join(where)})")
-    overwrite_partitions(spark, table, arrange(staged.repartitionByRange(*keys, *layout.sort_by), layout))
+    overwrite_partitions(spark, table, arrange(staged.repartitionByRange(*keys, *map(F.expr, layout.sort_by)), layout))
     set_table_property(spark, table, _NUMBERED_UNTIL, str(newest))
     return changed | moved

@@ -23,6 +23,7 @@ from editpulse.sources.lookups import wiki_geo
 from editpulse.sources.navigation import read_clickstream
 from editpulse.sources.topics import read_edit_stream
 from editpulse.streaming import landing as stream_landing
+from editpulse.streaming import live as stream_live
 from editpulse.streaming import marks as stream_marks
 from editpulse.streaming import marts as stream_marts
 from editpulse.streaming import publish as stream_publish
@@ -319,6 +320,18 @@ def _stream_trending(spark, sf_dir):
     return spark.read.schema(empty.schema).parquet(f"{work}/rows").drop("batch_id")
 
 
+def _stream_trending_live(spark, sf_dir):
+    """Running ranks over three batches; a tenth of the edits comes hours late, in the last one."""
+    work = new_work_dir(spark, "stream")
+    edits = warehouse(spark, sf_dir).table("raw.stg_edit")
+    late, half = F.col("edit_id") % 10 == 0, F.col("ts") < F.lit(MIDDAY).cast("timestamp")
+    for part in (edits.where(~late & half), edits.where(~late & ~half), edits.where(late)):
+        part.coalesce(1).write.mode("append").parquet(f"{work}/in")
+    rows = spark.readStream.schema(edits.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/in")
+    finish(start(rows, f"{work}/checkpoint", write_batch=stream_live.live_trending(f"{work}/live"), interval=None))
+    return stream_live.read_live(spark, f"{work}/live").drop("closed")
+
+
 def _land_edits(spark, sf_dir):
     work = new_work_dir(spark, "landing")
     parsed = parse_envelope(_message_stream(spark, sf_dir))
@@ -337,6 +350,17 @@ def _land_edits_idempotent(spark, sf_dir):
     return stream_landing.read_landed(spark, f"{work}/rows").drop("raw_payload", "ingested_at", "edit_date", "ingest_date")
 
 
+def _land_edits_committed(spark, sf_dir):
+    """The same through a commit log; the first run is also replayed after its commit."""
+    work = new_work_dir(spark, "landing")
+    for run in ("first", "first", "second"):
+        parsed = parse_envelope(_message_stream(spark, sf_dir))
+        write = stream_landing.append_committed(f"{work}/landed", f"{work}/quarantine", source=run)
+        finish(stream_landing.land_edits(parsed, write, new_work_dir(spark, "checkpoint"), interval=None))
+    landed = stream_landing.read_committed(spark, f"{work}/landed")
+    return landed.drop("raw_payload", "ingested_at", "edit_date", "ingest_date", "batch")
+
+
 def _publish_stream(spark, sf_dir):
     work = new_work_dir(spark, "publish")
     keyed = stream_publish.publishable(_message_stream(spark, sf_dir))
@@ -452,9 +476,11 @@ _QUERIES: dict[str, Query] = {
     "clickstream_tsv": _clickstream_tsv,
     "land_edits": _land_edits,
     "land_edits_idempotent": _land_edits_idempotent,
+    "land_edits_committed": _land_edits_committed,
     "publish_stream": _publish_stream,
     "stream_minute_counts": _stream_minute_counts,
     "stream_trending": _stream_trending,
+    "stream_trending_live": _stream_trending_live,
     "stream_vandalism": _stream_vandalism,
     "marks_average": _marks_average,
 }

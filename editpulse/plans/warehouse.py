@@ -10,6 +10,7 @@ from editpulse.operators import dims, facts, staging
 from editpulse.operators.filters import AsOf
 from editpulse.operators.upsert import load_incrementally
 from editpulse.plans import marts
+from editpulse.plans.descriptions import describe_table, described
 from editpulse.plans.refresh import refresh_clickstream, refresh_mart
 from editpulse.sinks.tables import arrange, create_namespaces, layout_for, materialize_table, seed_if_absent
 from editpulse.sources.calendar import build_dim_time, dim_time_covering
@@ -71,7 +72,8 @@ class CatalogWarehouse(_Relations):
         return self.table(name) if table_exists(self.spark, self.name(name)) else None
 
     def store(self, name: str, rows: DataFrame) -> None:
-        materialize_table(rows, self.name(name), layout_for(name))
+        materialize_table(rows, self.name(name), layout_for(name), described)
+        describe_table(self.spark, name, self.name(name))
 
     def build(self, full_refresh: bool = False) -> dict[str, set | None]:
         """Dimensions are rebuilt; the edit fact takes what landed since the last build, and marts and the navigation
@@ -79,7 +81,8 @@ class CatalogWarehouse(_Relations):
         """
         # The usual year, and whatever minutes the edits reach beyond it.
         for minutes in (build_dim_time(self.spark), dim_time_covering(self.table("raw.stg_edit"))):
-            seed_if_absent(self.spark, minutes, self.name("core.dim_time"), "time_id")
+            seed_if_absent(self.spark, described(minutes), self.name("core.dim_time"), "time_id")
+        describe_table(self.spark, "core.dim_time", self.name("core.dim_time"))
         for name in DIMS:
             self.store(name, self.derive(name))
         whole = full_refresh or self.find("core.fact_edit") is None
@@ -100,6 +103,8 @@ class CatalogWarehouse(_Relations):
         written = {"core.fact_clickstream": refresh_clickstream(self.spark, clicks, self.table("raw.stg_clickstream"), staging.stg_clickstream, whole)}
         for name in MARTS:
             written[name] = refresh_mart(self.spark, self.name(name), name, fact, *self.star()[1:], as_of=self.as_of, whole=whole)
+        for name in (n for n, dates in written.items() if dates is None):
+            describe_table(self.spark, name, self.name(name))
         return written
 
 
@@ -130,7 +135,7 @@ class FolderWarehouse(_Relations):
         if name not in self._stored:
             layout = layout_for(name)
             rows = arrange(self.derive(name), layout)
-            writer = rows.write.mode("overwrite")
+            writer = rows.write.mode("overwrite").options(**layout.options())
             if layout.partition_by:
                 writer = writer.partitionBy(*layout.partition_by)
             writer.parquet(self.path(name))

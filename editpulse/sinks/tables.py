@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +22,7 @@ class Layout:
     """Where rows of a table lie: partition folders, then the order inside the files.
 
     Sorted files give each Parquet row group a narrow value range, so time-range and key look-ups
-    skip most of them.
+    skip most of them. ``sort_by`` has columns or SQL expressions.
     """
 
     partition_by: tuple[str, ...] = ()
@@ -30,6 +30,38 @@ class Layout:
     sort_by: tuple[str, ...] = ()
     # False where the rows already come range-split in a fitting order.
     split: bool = True
+    # Columns with a Bloom filter in each row group, for look-ups by one value.
+    bloom: tuple[str, ...] = ()
+
+    def options(self) -> dict[str, str]:
+        """Writer options; a catalog table created with them keeps them for later inserts."""
+        return {f"parquet.bloom.filter.enabled#{column}": "true" for column in self.bloom}
+
+
+def interleaved(codes: Sequence[str], bits: int = 8) -> str:
+    """SQL of a space-filling order: the bits of several codes of 0 to 2^bits - 1 in turn, the highest first.
+
+    Rows near in it are near in every code, so a row group has a narrow range of each.
+    """
+    places = [(bit, k) for bit in range(bits) for k in range(len(codes))]
+    parts = [f"shiftleft(shiftright({codes[k]}, {bit}) & 1L, {bit * len(codes) + len(codes) - 1 - k})" for bit, k in places]
+    return f"({' + '.join(parts)})"
+
+
+def key_code(column: str) -> str:
+    """The highest eight bits of a hash key, in its order."""
+    return f"coalesce(shiftright({column}, 56) + 128, 0)"
+
+
+def name_code(column: str) -> str:
+    """A code of a name's first two letters, in their order."""
+    first, second = (f"least(greatest(ascii(substr({column}, {at}, 1)) - 97, 0), 25)" for at in (1, 2))
+    return f"coalesce(cast({first} * 9 + {second} div 3 AS bigint), 0)"
+
+
+def clock_code(column: str) -> str:
+    """A code of the time of day."""
+    return f"coalesce(pmod(unix_seconds({column}), 86400) * 256 div 86400, 0)"
 
 
 # Marts lie by date, so that a load replaces only the dates it changed.
@@ -47,7 +79,13 @@ LAYOUTS: dict[str, Layout] = {
     "core.dim_wiki": Layout(sort_by=("wiki_id",)),
     "core.dim_page": Layout(sort_by=("page_id",)),
     "core.dim_editor": Layout(sort_by=("editor_id",)),
-    "core.fact_edit": Layout(("edit_date",), {"edit_date": "to_date(ts)"}, ("page_id", "ts", "edit_id")),
+    # Look-ups come by page, editor, wiki and time alike.
+    "core.fact_edit": Layout(
+        ("edit_date",),
+        {"edit_date": "to_date(ts)"},
+        (interleaved([key_code("page_id"), key_code("editor_id"), name_code("wiki_id"), clock_code("ts")]), "page_id", "ts", "edit_id"),
+        bloom=("page_id", "editor_id"),
+    ),
     "core.fact_clickstream": Layout(("wiki_id", "dump_month"), None, ("target_page_id", "fc_id"), split=False),
     "marts.live_tiles": Layout(("tile_date",), {"tile_date": "to_date(tile_end)"}, ("tile_end", "wiki_db")),
     "marts.trending_per_minute": Layout(*_BY_MINUTE, ("minute_bucket", "rank_in_minute", "page_id")),
@@ -70,7 +108,7 @@ def arrange(rows: DataFrame, layout: Layout) -> DataFrame:
     """
     for name, expression in (layout.derived or {}).items():
         rows = rows.withColumn(name, F.expr(expression))
-    order = [*layout.partition_by, *layout.sort_by]
+    order = [*layout.partition_by, *map(F.expr, layout.sort_by)]
     if not layout.sort_by:
         return rows
     if layout.split:
@@ -85,10 +123,12 @@ def create_namespaces(spark: SparkSession, location: str | None = None, prefix:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{name} COMMENT '{comment}'{where}")
 
 
-def materialize_table(rows: DataFrame, table: str, layout: Layout | None = None) -> None:
-    """Full rebuild of a catalog table."""
+def materialize_table(
+    rows: DataFrame, table: str, layout: Layout | None = None, describe: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> None:
+    """Full rebuild of a catalog table; ``describe`` adds column comments to what is stored."""
     layout = layout_for(table) if layout is None else layout
-    writer = arrange(rows, layout).write.mode("overwrite").format("parquet")
+    writer = describe(arrange(rows, layout)).write.mode("overwrite").format("parquet").options(**layout.options())
     if layout.partition_by:
         writer = writer.partitionBy(*layout.partition_by)
     writer.saveAsTable(table)

@@ -1,4 +1,4 @@
-"""Live marts. Late rows beyond the watermark are left to the next batch rebuild."""
+"""Live marts of closed windows. Late rows beyond the watermark are left out here; ``live`` corrects minutes by them."""
 
 from __future__ import annotations
 

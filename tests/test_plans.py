@@ -10,7 +10,7 @@ from editpulse.plans import registered, serving
 SF_DIR = "/root/testdata/sf0.001"
 # Enough for whole descriptions of scans.
 LONG = "spark.sql.maxMetadataStringLength"
-STREAMED = {"land_edits", "land_edits_idempotent", "publish_stream", "marks_average"}
+STREAMED = {"land_edits", "land_edits_idempotent", "land_edits_committed", "publish_stream", "marks_average"}
 
 
 @pytest.fixture(autouse=True)

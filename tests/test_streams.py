@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+import pytest
 from build import at, edit, edits
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from editpulse.operators.landing import publish_cap
 from editpulse.plans import marts
 from editpulse.sources.envelopes import parse_envelope
 from editpulse.sources.topics import read_edit_stream
-from editpulse.streaming import landing, publish
+from editpulse.streaming import landing, live, publish
 from editpulse.streaming import marks as marks_stream
 from editpulse.streaming import marts as stream_marts
 from editpulse.streaming.run import finish, numbered_batches, start
@@ -69,6 +70,42 @@ def test_trending_equals_batch(spark, work_dir):
     assert sorted(got.select(*columns).collect()) == sorted(batch.select(*columns).collect())
 
 
+def test_running_ranks_and_late_edits(spark, work_dir):
+    """Open minutes are ranked as they fill, late edits correct closed ones, a batch that died is written over."""
+    rows = sample_rows()
+    late = [edit(900 + k, 3 + k / 10, title="P1", user="U") for k in range(3)]
+    path = f"{work_dir}/live"
+    columns = ["minute_bucket", "page_id", "edit_count", "rank_in_minute", "rank_in_wiki_minute"]
+
+    def expected(part):
+        batch = marts.trending_per_minute(*star(spark, edits(spark, *part)))
+        return sorted(batch.select(*columns).collect())
+
+    def found():
+        return sorted(live.read_live(spark, path).select(*columns).collect())
+
+    assert found() == []
+    write = live.live_trending(path, delay_seconds=600)
+    write(edits(spark, *rows[:30]), 0)
+    assert found() == expected(rows[:30])
+    write(edits(spark, *rows[30:]), 1)
+    assert found() == expected(rows)
+    assert live.read_late(spark, path).count() == 0
+    closed = {r.minute_bucket for r in live.read_live(spark, path).where("closed").collect()}
+    assert 20 < len(closed) < 40
+    write(edits(spark, *late), 1)
+    assert found() == expected(rows)
+    write(edits(spark, *late), 2)
+    assert found() == expected([*rows, *late])
+    assert live.read_late(spark, path).agg(F.sum("edit_count")).first()[0] == 3
+    # Rows without a commit are not read.
+    live.rank_minutes(live.read_live(spark, path).select("minute_bucket", "wiki_id", "page_id", "page_title", "edit_count")).limit(1).withColumn("slot", F.lit(1)).write.partitionBy("slot").parquet(f"{path}/minutes/batch=3")
+    assert found() == expected([*rows, *late])
+    write(edits(spark, edit(950, 70)), 3)
+    write(edits(spark, edit(951, 70, bot=True)), 4)
+    assert found() == expected([*rows, *late, edit(950, 70)])
+
+
 def envelopes(spark, work_dir, *events):
     rows = [(json.dumps(e),) for e in events]
     spark.createDataFrame(rows, "value STRING").coalesce(1).write.mode("append").text(f"{work_dir}/topic")
@@ -149,3 +186,31 @@ def test_capped_stream(spark, work_dir):
     assert run_to_files(spark, publish_cap(rows, 13), work_dir).count() == 13
 
 
+
+
+def test_landing_by_commits(spark, work_dir, monkeypatch):
+    """Replays are skipped, half-written batches are not read and written over, new edits read no landed rows."""
+    path, day = f"{work_dir}/landed", 24 * 60
+    write = landing.append_committed(path, f"{work_dir}/quarantine")
+    ids = lambda: sorted(r.edit_id for r in landing.read_committed(spark, path).collect())
+    assert ids() == [] and landing.committed_batches(spark, path) == []
+    first = edits(spark, edit(1), edit(1), edit(2, day), edit(3, day, editor=None))
+    write(first, 0)
+    assert ids() == [1, 2] and spark.read.parquet(f"{work_dir}/quarantine/batch=edits-0").count() == 1
+    files = set(landing.read_committed(spark, path).inputFiles())
+    write(edits(spark, edit(9)), 0)
+    assert ids() == [1, 2] and files == set(landing.read_committed(spark, path).inputFiles())
+    # The second batch dies between its rows and its commit.
+    with monkeypatch.context() as broken:
+        broken.setattr(landing.bloom, "filters_of", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            write(edits(spark, edit(4), edit(2, day)), 1)
+    assert ids() == [1, 2] and landing.committed_batches(spark, path) == ["edits-0"]
+    write(edits(spark, edit(4), edit(2, day), edit(5, 2 * day)), 1)
+    assert ids() == [1, 2, 4, 5]
+    # Another query sends the same and a new edit; an edit of another time is another key.
+    landing.append_committed(path, f"{work_dir}/quarantine", source="again")(edits(spark, edit(1), edit(2, day), edit(6, 3 * day), edit(1, 5)), 0)
+    assert ids() == [1, 1, 2, 4, 5, 6]
+    keys = landing._keyed(landing._with_dates(edits(spark, edit(100, 9), edit(101, day + 9), edit(102, 9 * day))))
+    found = landing._landed_keys(spark, path, keys)
+    assert found is None or len(found.inputFiles()) <= 1

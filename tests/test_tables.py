@@ -6,13 +6,14 @@ import datetime as dt
 import gzip
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from build import at, edit, edits, navigations
 from pyspark.sql import functions as F
 
 from editpulse.operators import quality
 from editpulse.operators.upsert import incremental_upsert, keep_mark, loaded_until, since
-from editpulse.plans import serving
+from editpulse.plans import descriptions, serving
 from editpulse.plans.contracts import CONTRACTS
 from editpulse.plans.warehouse import ALL, CatalogWarehouse, relations
 from editpulse.sinks import jdbc, tables
@@ -176,6 +177,14 @@ def test_seed_and_docs(spark, warehouse):
     assert described["wiki_id"][1] == "Natural key" and described["Comment"][0] == "All wikis' names"
 
 
+def test_stored_relations_are_described(spark, warehouse):
+    for name in (n for n in ALL if n != "raw.stg_clickstream"):
+        rows = {r.col_name: r for r in spark.sql(f"DESCRIBE EXTENDED {warehouse.name(name)}").collect()}
+        columns = warehouse.table(name).columns
+        assert rows["Comment"].data_type == descriptions.TABLES[name]
+        assert all(rows[c].comment == descriptions.COLUMNS[c] for c in columns), name
+
+
 def test_views(spark):
     tables.materialize_view(edits(spark, edit(1)), "some_edits")
     assert spark.table("some_edits").count() == 1
@@ -212,3 +221,42 @@ def test_connection_options():
 
 def test_wiki_positions(spark):
     assert wiki_geo(spark).count() == 49
+
+
+def test_facts_can_be_looked_up_by_four_keys(spark, work_dir):
+    """Row groups are skipped for a page, an editor, a wiki and a time; ids have Bloom filters, after an upsert as well."""
+    wikis = F.element_at(F.array(*map(F.lit, ("dewiki", "enwiki", "frwiki", "ptwiki", "zhwiki"))), (F.col("id") % 5 + 1).cast("int"))
+    rows = spark.range(120_000).select(
+        F.col("id").alias("edit_id"), F.xxhash64(F.col("id") % 997, F.lit(1)).alias("page_id"), F.xxhash64(F.col("id") % 1009).alias("editor_id"),
+        wikis.alias("wiki_id"), F.timestamp_seconds(F.lit(1775001600) + F.col("id") * 7919 % 86400).alias("ts"),
+    )
+    layout = tables.layout_for("core.fact_edit")
+    name = f"looked_up_{abs(hash(work_dir)) % 10**8}"
+    arranged = tables.arrange(rows, layout).write.format("parquet").options(**layout.options()).option("parquet.block.size", "65536")
+    arranged.partitionBy("edit_date").saveAsTable(name)
+    one = rows.where("edit_id = 77").first()
+
+    def groups():
+        for path in spark.table(name).inputFiles():
+            footer = pq.ParquetFile(path.removeprefix("file://")).metadata
+            for g in range(footer.num_row_groups):
+                yield {footer.row_group(g).column(c).path_in_schema: footer.row_group(g).column(c) for c in range(footer.num_columns)}
+
+    found = list(groups())
+    assert len(found) > 40
+    for column in ("page_id", "editor_id", "wiki_id", "ts"):
+        wanted = one[column]
+        if column == "ts":
+            wanted = wanted.astimezone(dt.timezone.utc)
+        spans = [(g[column].statistics.min, g[column].statistics.max) for g in found]
+        spans = [tuple(x.astimezone(dt.timezone.utc) if isinstance(x, dt.datetime) else x for x in s) for s in spans]
+        assert sum(not low <= wanted <= high for low, high in spans) > len(spans) / (4 if column == "wiki_id" else 2), column
+    incremental_upsert(spark, name, rows.where("edit_id < 3").withColumn("edit_date", F.to_date("ts")), sort_by=layout.sort_by)
+    jvm = spark._jvm.org.apache.parquet.hadoop
+    path = spark._jvm.org.apache.hadoop.fs.Path(spark.table(name).inputFiles()[0])
+    source = jvm.util.HadoopInputFile.fromPath(path, spark._jsc.hadoopConfiguration())
+    reader = jvm.ParquetFileReader.open(source)
+    columns = reader.getFooter().getBlocks().get(0).getColumns()
+    filtered = {columns.get(i).getPath().toDotString() for i in range(columns.size()) if columns.get(i).getBloomFilterOffset() > 0}
+    reader.close()
+    assert filtered == {"page_id", "editor_id"} and spark.table(name).count() == 120_000
