@@ -22,7 +22,7 @@ BANDS = bands_for(float(SIMILARITY), RECALL, ROWS)
 # Two values come from each permutation.
 PERMUTATIONS = (BANDS * ROWS + 1) // 2
 # One task of the verification holds one block of at most about so many sets and shingles.
-BLOCK_SETS, BLOCK_SHINGLES = 4096, 1 << 20
+BLOCK_SETS, BLOCK_SHINGLES = 512, 1 << 18
 _SEED = 40111
 
 
