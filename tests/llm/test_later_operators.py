@@ -13,7 +13,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from editpulse.llm import conversation_repair, lexical_search, minmax_dedup
+from editpulse.llm import conversation_repair, decontaminate, lexical_search, minmax_dedup, url_lists
 from editpulse.llm.tables import table
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -262,3 +262,39 @@ def test_both_ends_of_a_permutation_estimate_the_similarity():
     assert both.shape == (2, 800)
     agree = both[0] == both[1]
     assert abs(agree[:400].mean() - 0.8) < 0.08 and abs(agree[400:].mean() - 0.8) < 0.08 and abs(agree.mean() - 0.8) < 0.05
+
+
+# --- bounds of earlier operators -------------------------------------------------------------
+
+
+def test_hosts_longer_than_hosts_can_be_match_nothing(spark):
+    listed = url_lists.list_intervals(spark.sql("SELECT 'l' AS list, 'a.org' AS entry, 'add' AS action, timestamp_ntz'2024-01-01' AS at"))
+    rows = [(1, "http://" + "x." * 30_000 + "a.org/p"), (2, "http://" + "x." * 100 + "a.org/p"), (3, "http://" + "." * 60_000 + "/"), (4, "http://a.org/" + "y/" * 30_000)]
+    captures = spark.createDataFrame(rows, "page_id bigint, url string").selectExpr("*", "timestamp_ntz'2024-01-02' AS fetch_time")
+    got = {r.page_id: (r.blocked, len(r.host)) for r in url_lists.asof_filter(captures, listed).collect()}
+    assert got == {1: (False, 0), 2: (True, 205), 3: (False, 0), 4: (True, 5)}
+
+
+def full_alignment(pattern, text, most):
+    """The whole table: (edits, start, end), earliest end, then earliest start."""
+    row = [(0, j) for j in range(len(text) + 1)]
+    for k, p in enumerate(pattern):
+        new = [(k + 1, 0)]
+        for j, t in enumerate(text):
+            new.append(min((row[j + 1][0] + 1, row[j + 1][1]), (row[j][0] + (p != t), row[j][1]), (new[-1][0] + 1, new[-1][1])))
+        row = new
+    cost, end = min((c, j) for j, (c, _) in enumerate(row))
+    return (cost, row[end][1], end) if cost <= most else None
+
+
+def test_the_band_holds_every_alignment():
+    rng = random.Random(1)
+    for _ in range(1500):
+        pattern = [rng.randint(1, 4) for _ in range(rng.randint(1, 25))]
+        text = list(pattern)
+        for _ in range(rng.randint(0, 5)):
+            at = rng.randint(0, len(text))
+            text[at : at + rng.randint(0, 1)] = [rng.randint(1, 4)] * rng.randint(0, 2)
+        text = [rng.randint(1, 4) for _ in range(rng.randint(0, 6))] + text + [rng.randint(1, 4) for _ in range(rng.randint(0, 6))]
+        most = rng.randint(0, 6)
+        assert decontaminate.aligned(np.array(pattern, np.uint32), np.array(text, np.uint32), most) == full_alignment(pattern, text, most)
