@@ -26,9 +26,11 @@ PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_toke
 def _terms(ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, token, times) of each distinct token of each document, by document."""
     width = int(ids.max(initial=0)) + 1
-    key = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets)) * width + ids.astype(np.int64)
+    # Narrow keys where they fit: sorting them is most of the work.
+    kind = np.uint32 if (len(offsets) - 1) * width < 1 << 32 else np.int64
+    key = np.repeat(np.arange(len(offsets) - 1, dtype=kind), np.diff(offsets)) * kind(width) + ids.astype(kind)
     found, times = np.unique(key, return_counts=True)
-    return found // width, found % width, times
+    return (found // kind(width)).astype(np.int64), (found % kind(width)).astype(np.int64), times
 
 
 def tokenised(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
@@ -87,7 +89,7 @@ class Shard:
         score = known.idf[token] * (times * (K1 + 1)) / (times + norm[doc])
         self.count = len(length)
         self.token, self.firsts = token, np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=self.count))))
-        order = np.argsort(token, kind="stable")
+        order = np.argsort(token.astype(np.uint16) if token.max(initial=0) < 1 << 16 else token, kind="stable")
         self.doc, self.score = doc[order].astype(np.int32), score[order]
         self.starts = np.concatenate(([0], np.cumsum(np.bincount(token, minlength=int(token.max(initial=0)) + 1))))
 
