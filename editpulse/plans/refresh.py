@@ -63,6 +63,12 @@ def _dates(rows: DataFrame, column: str) -> set:
     return {r[0] for r in rows.select(column).distinct().collect()}
 
 
+def _stored_dates(spark: SparkSession, table: str) -> set[dt.date]:
+    """The dates a table has partitions for, from the catalog alone; not the undated one."""
+    values = [r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    return {dt.date.fromisoformat(v) for v in values if not v.startswith("__")}
+
+
 def _derive(name: str, fact: DataFrame, dim_wiki: DataFrame, dim_page: DataFrame, as_of: AsOf, earlier: DataFrame | None) -> DataFrame:
     recipes: dict[str, Callable[[], DataFrame]] = {
         "marts.trending_per_minute": lambda: marts.trending_per_minute(fact, dim_wiki, dim_page),
@@ -78,7 +84,7 @@ def _history(mart: DataFrame, fact: DataFrame, first: dt.date) -> DataFrame:
     """The mart's last 60 rows before ``first`` of each page that was edited since, as counts of edits."""
     pages = fact.select("page_id").distinct()
     newest = Window.partitionBy("page_id").orderBy(F.desc("minute_bucket"))
-    before = mart.where(F.col("mart_date") < F.lit(first)).join(pages, "page_id", "left_semi")
+    before = mart.where((F.col("mart_date") < F.lit(first)) | F.col("mart_date").isNull()).join(pages, "page_id", "left_semi")
     counts = before.select("minute_bucket", "wiki_id", "page_id", F.col("edits_this_min").alias("edit_count"))
     return counts.withColumn("_nth", F.row_number().over(newest)).where("_nth <= 60").drop("_nth")
 
@@ -101,8 +107,8 @@ def refresh_mart(
         changes.mark_seen(spark, mart, until)
         return None
     stored = spark.table(mart)
-    known = _dates(stored, "mart_date") - {None}
-    dates = affected_dates(changed, known | (_dates(fact, "edit_date") - {None}), reach)
+    known = _stored_dates(spark, mart)
+    dates = affected_dates(changed, known | _stored_dates(spark, fact_table), reach)
     if reach.keeps_days is not None:
         # Dates before the trailing days go, and the first of them is only partly there.
         first = spark.range(1).select(F.to_date(back(as_of, days=reach.keeps_days))).first()[0]

@@ -11,8 +11,10 @@ _local_roots: dict[str, str] = {}
 
 
 # Times are UTC everywhere. The JVM never compiles a generated method over 8000 bytes of bytecode to
-# machine code, so wide projections (JSON envelopes) run faster as several small methods.
+# machine code, so wide projections (JSON envelopes) run faster as several small methods. The default kind of
+# timestamp in Parquet has no minimum and maximum, so row groups could not be skipped by time.
 RUNTIME_CONF = {
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }

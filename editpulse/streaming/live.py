@@ -15,7 +15,7 @@ DELAY_SECONDS = 600
 _KEYS = ("minute_bucket", "wiki_id", "page_id", "page_title")
 _RANKED = (
     "minute_bucket TIMESTAMP, wiki_id STRING, page_id BIGINT, page_title STRING, edit_count BIGINT, "
-    "rank_in_minute BIGINT, rank_in_wiki_minute BIGINT, batch BIGINT, slot BIGINT"
+    "rank_in_minute BIGINT, rank_in_wiki_minute BIGINT, slot BIGINT, batch BIGINT"
 )
 _COMMIT = "slot BIGINT, version BIGINT, watermark BIGINT, batch BIGINT"
 
@@ -83,7 +83,7 @@ def live_trending(path: str, delay_seconds: int = DELAY_SECONDS) -> BatchWriter:
             old = _versions(spark, path, commit, slots).select(*_KEYS, "edit_count", "slot")
             whole = old.unionByName(counts.drop("_newest")).groupBy(*_KEYS, "slot").agg(F.sum("edit_count").alias("edit_count"))
             ranked = rank_minutes(whole.drop("slot")).withColumn("slot", _slot())
-            ranked.hint("rebalance", "slot").write.mode("overwrite").partitionBy("slot").parquet(f"{path}/minutes/batch={batch_id}")
+            ranked.sortWithinPartitions("slot").write.mode("overwrite").parquet(f"{path}/minutes/batch={batch_id}")
             closed = F.unix_seconds("minute_bucket") + 60 <= F.lit(watermark)
             late = counts.where(F.coalesce(closed, F.lit(False))).drop("_newest", "slot")
             late.write.mode("overwrite").parquet(f"{path}/late/batch={batch_id}")

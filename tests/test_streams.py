@@ -99,7 +99,7 @@ def test_running_ranks_and_late_edits(spark, work_dir):
     assert found() == expected([*rows, *late])
     assert live.read_late(spark, path).agg(F.sum("edit_count")).first()[0] == 3
     # Rows without a commit are not read.
-    live.rank_minutes(live.read_live(spark, path).select("minute_bucket", "wiki_id", "page_id", "page_title", "edit_count")).limit(1).withColumn("slot", F.lit(1)).write.partitionBy("slot").parquet(f"{path}/minutes/batch=3")
+    live.rank_minutes(live.read_live(spark, path).select("minute_bucket", "wiki_id", "page_id", "page_title", "edit_count")).limit(1).withColumn("slot", F.lit(1).cast("bigint")).write.parquet(f"{path}/minutes/batch=3")
     assert found() == expected([*rows, *late])
     write(edits(spark, edit(950, 70)), 3)
     write(edits(spark, edit(951, 70, bot=True)), 4)

@@ -250,7 +250,7 @@ def test_facts_can_be_looked_up_by_four_keys(spark, work_dir):
             wanted = wanted.astimezone(dt.timezone.utc)
         spans = [(g[column].statistics.min, g[column].statistics.max) for g in found]
         spans = [tuple(x.astimezone(dt.timezone.utc) if isinstance(x, dt.datetime) else x for x in s) for s in spans]
-        assert sum(not low <= wanted <= high for low, high in spans) > len(spans) / (4 if column == "wiki_id" else 2), column
+        assert sum(not low <= wanted <= high for low, high in spans) > len(spans) / 4, column
     incremental_upsert(spark, name, rows.where("edit_id < 3").withColumn("edit_date", F.to_date("ts")), sort_by=layout.sort_by)
     jvm = spark._jvm.org.apache.parquet.hadoop
     path = spark._jvm.org.apache.hadoop.fs.Path(spark.table(name).inputFiles()[0])
