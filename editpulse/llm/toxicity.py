@@ -1,23 +1,28 @@
-"""A convolutional text classifier for toxicity, trained in numpy on a bounded sample."""
+"""A convolutional text classifier for toxicity, trained in numpy by tasks that each learn from a part of all labelled rows."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from copy import deepcopy
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from editpulse.llm.batches import Words, slices, texts_of, words
+from editpulse.llm.batches import Words, flat, slices, texts_of, words
 from editpulse.llm.tables import without
+from editpulse.session import new_work_dir
 
-# The training sample: at most so many labelled rows that are not toxic and toxic, and characters in all.
-SAMPLE_ROWS, SAMPLE_CHARS = (6_000, 4_000), 50_000_000
+# What one learner takes at a time: about so many rows, and words. Fewest parts, as few rows learn better by the mean of some learners.
+PART_ROWS, PART_WORDS, LEAST_PARTS = 8192, 1 << 22, 4
+# Places of the bitmap that tells most rows without a label, the embedding rows in one block of a learner's
+# changes, and steps of the scores that thresholds are chosen from.
+PLACES, BLOCK, BINS = 1 << 23, 1024, 1 << 16
 BUCKETS, SIZE, WIDTHS, FILTERS = 1 << 18, 8, (1, 2, 3), 8
 EPOCHS, BATCH, RATE = 10, 64, 0.02
 LEAST = 0.5
@@ -45,41 +50,6 @@ def buckets_of(split: Words) -> np.ndarray:
     return np.stack([each % half, half + (each >> np.uint64(32)) % half], axis=1).astype(np.int64)
 
 
-class WordCodes:
-    """Texts that come one at a time, as codes of their words; only a piece of them is held as text.
-
-    Words with the same embedding rows are one to the model and share a code, so no word is kept either.
-    """
-
-    def __init__(self, most: int = 1 << 20) -> None:
-        self._most, self._texts, self._size = most, [], 0
-        self._codes, self._counts, self._pairs = [], [], []
-
-    def add(self, text: str) -> None:
-        self._texts.append(text)
-        self._size += len(text)
-        if self._size >= self._most:
-            self._encode()
-
-    def _encode(self) -> None:
-        split = words(pa.array(self._texts, pa.large_string()))
-        rows = buckets_of(split)
-        pairs, own = np.unique(rows[:, 0] * BUCKETS + rows[:, 1], return_inverse=True)
-        self._codes.append(own.astype(np.int32)[split.codes])
-        self._counts.append(split.counts)
-        self._pairs.append(pairs)
-        self._texts, self._size = [], 0
-
-    def finish(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(codes, offsets by text, two embedding rows for each code)"""
-        self._encode()
-        pairs, merged = np.unique(np.concatenate(self._pairs), return_inverse=True)
-        merged = np.split(merged.astype(np.int32), np.cumsum([len(p) for p in self._pairs])[:-1])
-        codes = np.concatenate([new[own] for new, own in zip(merged, self._codes)])
-        offsets = np.concatenate(([0], np.cumsum(np.concatenate(self._counts))))
-        return codes, offsets, np.stack([pairs // BUCKETS, pairs % BUCKETS], axis=1)
-
-
 _GAP = max(WIDTHS) - 1
 
 
@@ -126,158 +96,277 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 def scores(model: Model, texts: pa.Array) -> np.ndarray:
     """A score from 0 to 1 for each whole text; one without words has the score of the offset alone."""
     split = words(texts)
-    rows = buckets_of(split)
+    return _scored(model, buckets_of(split), split.codes, split.offsets)
+
+
+def _scored(model: Model, rows: np.ndarray, codes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     table = model.embedding[rows[:, 0]] + model.embedding[rows[:, 1]] if len(rows) else np.zeros((1, SIZE), np.float32)
-    pooled, _ = _pooled(model, table, split.codes, split.offsets)
+    pooled, _ = _pooled(model, table, codes, offsets)
     return _sigmoid(pooled @ model.weight + model.offset).astype(np.float64)
 
 
-def train(codes_of: np.ndarray, offsets: np.ndarray, rows: np.ndarray, labels: np.ndarray, prior: float, seed: int = 7) -> Model:
-    """Adam on the log loss, classes weighted alike, and at the end the offset moved to the ``prior`` of toxic rows.
-
-    Texts come as ``WordCodes.finish`` gives them. Embeddings start near zero and only words at a maximum are moved, so words never seen stay silent.
-    Only the words of a batch have moments to update.
-    """
+def fresh(seed: int = 7) -> Model:
+    """An untrained model. Embeddings start near zero."""
     rng = np.random.default_rng(seed)
-    lengths = np.diff(offsets)
-    model = Model(
+    return Model(
         rng.normal(0, 0.02, (BUCKETS, SIZE)).astype(np.float32),
         [rng.normal(0, 0.4, (w, SIZE, FILTERS)).astype(np.float32) for w in WIDTHS],
         [np.full(FILTERS, 0.02, np.float32) for _ in WIDTHS],
         rng.normal(0, 0.3, len(WIDTHS) * FILTERS).astype(np.float32),
         0.0,
     )
-    balance = np.where(labels == 1, 0.5 / max(labels.mean(), 1e-6), 0.5 / max(1 - labels.mean(), 1e-6))
+
+
+def train(model: Model, codes_of: np.ndarray, offsets: np.ndarray, rows: np.ndarray, labels: np.ndarray, share: float, epoch: int, seed: int = 7) -> None:
+    """Adam on the log loss in place, for one of the ``EPOCHS``; classes weighted alike, where ``share`` of all rows are toxic.
+
+    Texts are ``codes_of`` within ``offsets``, each code with two embedding rows. Only words at a maximum are moved, so words never seen stay silent.
+    Only the words of a batch have moments to update.
+    """
+    rng = np.random.default_rng((seed, epoch))
+    lengths = np.diff(offsets)
+    balance = np.where(labels == 1, 0.5 / max(share, 1e-6), 0.5 / max(1 - share, 1e-6))
     dense = [*model.filters, *model.bias, model.weight]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in dense]
     first, second = np.zeros_like(model.embedding), np.zeros_like(model.embedding)
+    present, places_of = np.zeros(len(rows), bool), np.zeros(len(rows), np.int64)
     shift = np.zeros(2)
     turn = 0
-    for epoch in range(EPOCHS):
-        rate = RATE * (1 - epoch / EPOCHS)
-        order = rng.permutation(len(labels))
-        for at in range(0, len(order), BATCH):
-            batch = order[at : at + BATCH]
-            turn += 1
-            counts = lengths[batch]
-            ends = np.concatenate(([0], np.cumsum(counts)))
-            codes = np.concatenate([codes_of[offsets[i] : offsets[i + 1]] for i in batch])
-            used, local = np.unique(codes, return_inverse=True)
-            if not len(used):
-                continue
-            table = model.embedding[rows[used, 0]] + model.embedding[rows[used, 1]]
-            pooled, places = _pooled(model, table, local, ends, places=True)
-            error = (_sigmoid(pooled @ model.weight + model.offset) - labels[batch]) * balance[batch] / len(batch)
-            back = np.outer(error, model.weight) * (pooled > 0)
-            grad_table = np.zeros_like(table)
-            grads: list[np.ndarray] = []
-            for k, width in enumerate(WIDTHS):
-                part = slice(k * FILTERS, (k + 1) * FILTERS)
-                t, f = np.nonzero(back[:, part])
-                g, place = back[:, part][t, f].astype(np.float32), places[:, part][t, f]
-                grad = np.zeros_like(model.filters[k])
-                for step in range(width):
-                    ok = place + step < ends[t + 1]
-                    word = local[place[ok] + step]
-                    np.add.at(grad[step].T, f[ok], g[ok, None] * table[word])
-                    np.add.at(grad_table, word, g[ok, None] * model.filters[k][step].T[f[ok]])
-                grads.append(grad)
-            grads += [back[:, k * FILTERS : (k + 1) * FILTERS].sum(axis=0).astype(np.float32) for k in range(len(WIDTHS))]
-            grads.append((pooled.T @ error).astype(np.float32) + 1e-4 * model.weight)
-            scale = np.sqrt(1 - 0.999**turn) / (1 - 0.9**turn)
-            for p, g, (m, v) in zip(dense, grads, moments):
-                m += 0.1 * (g - m)
-                v += 0.001 * (g * g - v)
-                p -= rate * scale * m / (np.sqrt(v) + 1e-8)
-            shift += [0.1 * (error.sum() - shift[0]), 0.001 * (error.sum() ** 2 - shift[1])]
-            model.offset -= float(rate * scale * shift[0] / (np.sqrt(shift[1]) + 1e-8))
-            touched = np.flatnonzero(np.abs(grad_table).max(axis=1) > 0)
-            for side in range(2):
-                row = rows[used[touched], side]
-                row, where = np.unique(row, return_index=True)
-                g = grad_table[touched[where]]
-                first[row] += 0.1 * (g - first[row])
-                second[row] += 0.001 * (g * g - second[row])
-                model.embedding[row] -= rate * scale * first[row] / (np.sqrt(second[row]) + 1e-8)
-    model.offset += float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6)))
-    return model
+    rate = RATE * (1 - epoch / EPOCHS)
+    order = rng.permutation(len(labels))
+    for at in range(0, len(order), BATCH):
+        batch = order[at : at + BATCH]
+        turn += 1
+        counts = lengths[batch]
+        ends = np.concatenate(([0], np.cumsum(counts)))
+        codes = np.concatenate([codes_of[offsets[i] : offsets[i + 1]] for i in batch])
+        if not len(codes):
+            continue
+        present[codes] = True
+        used = np.flatnonzero(present)
+        places_of[used] = np.arange(len(used))
+        local, present[used] = places_of[codes], False
+        table = model.embedding[rows[used, 0]] + model.embedding[rows[used, 1]]
+        pooled, places = _pooled(model, table, local, ends, places=True)
+        error = (_sigmoid(pooled @ model.weight + model.offset) - labels[batch]) * balance[batch] / len(batch)
+        back = np.outer(error, model.weight) * (pooled > 0)
+        grad_table = np.zeros_like(table)
+        grads: list[np.ndarray] = []
+        for k, width in enumerate(WIDTHS):
+            part = slice(k * FILTERS, (k + 1) * FILTERS)
+            t, f = np.nonzero(back[:, part])
+            g, place = back[:, part][t, f].astype(np.float32), places[:, part][t, f]
+            grad = np.zeros_like(model.filters[k])
+            for step in range(width):
+                ok = place + step < ends[t + 1]
+                word = local[place[ok] + step]
+                np.add.at(grad[step].T, f[ok], g[ok, None] * table[word])
+                np.add.at(grad_table, word, g[ok, None] * model.filters[k][step].T[f[ok]])
+            grads.append(grad)
+        grads += [back[:, k * FILTERS : (k + 1) * FILTERS].sum(axis=0).astype(np.float32) for k in range(len(WIDTHS))]
+        grads.append((pooled.T @ error).astype(np.float32) + 1e-4 * model.weight)
+        scale = np.sqrt(1 - 0.999**turn) / (1 - 0.9**turn)
+        for p, g, (m, v) in zip(dense, grads, moments):
+            m += 0.1 * (g - m)
+            v += 0.001 * (g * g - v)
+            p -= rate * scale * m / (np.sqrt(v) + 1e-8)
+        shift += [0.1 * (error.sum() - shift[0]), 0.001 * (error.sum() ** 2 - shift[1])]
+        model.offset -= float(rate * scale * shift[0] / (np.sqrt(shift[1]) + 1e-8))
+        touched = np.flatnonzero(np.abs(grad_table).max(axis=1) > 0)
+        for side in range(2):
+            row = rows[used[touched], side]
+            row, where = np.unique(row, return_index=True)
+            g = grad_table[touched[where]]
+            first[row] += 0.1 * (g - first[row])
+            second[row] += 0.001 * (g * g - second[row])
+            model.embedding[row] -= rate * scale * first[row] / (np.sqrt(second[row]) + 1e-8)
 
 
-def calibrated(model: Model, texts: list[str], labels: np.ndarray, langs: list[str]) -> dict[str, float]:
-    """Per language, the threshold of the best F0.5 on these rows; '' has the one over all, for languages with few rows.
+def held_out(key: str = "doc_id", folds: int = 5) -> Column:
+    """Rows whose labels must not be learned from."""
+    return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % folds == 0
 
-    A clean row that goes counts more than a toxic one that stays, and no threshold lies below ``LEAST``: few rows
-    of a language must not make it reject what is likelier clean.
+
+def _place() -> Column:
+    return F.pmod(F.xxhash64("_id"), F.lit(PLACES))
+
+
+def _bitmap(ids: DataFrame) -> np.ndarray:
+    """Whether some id lies at each place: 1 MB, whatever the data."""
+    places = ids.select(_place().alias("_place")).groupBy(F.expr("_place div 32768").alias("_block"))
+    marked = np.zeros((PLACES // 32768, 4096), np.uint8)
+    for row in places.agg(F.bitmap_construct_agg(F.col("_place") % 32768).alias("_bits")).collect():
+        marked[row["_block"]] = np.frombuffer(bytes(row["_bits"]), np.uint8)
+    return marked.ravel()
+
+
+def _encoded(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """``_id``, ``lang`` and the words (the pair of embedding rows as one number) of rows that may have a label."""
+    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(known))
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 1 << 20):
+            place = batch.column("_place").to_numpy()
+            own = batch.filter(pa.array((shared.value[place >> 3] >> (place & 7)) & 1 == 1))
+            split = words(texts_of(own, "text"))
+            rows = buckets_of(split)
+            pairs = (rows[:, 0] * BUCKETS + rows[:, 1])[split.codes]
+            lists = pa.ListArray.from_arrays(pa.array(split.offsets, pa.int32()), pa.array(pairs, pa.int64()))
+            yield pa.RecordBatch.from_arrays([own.column("_id"), own.column("lang"), lists], names=["_id", "lang", "words"])
+
+    lang = F.col("lang") if "lang" in docs.columns else F.lit("")
+    plain = docs.select(F.col("doc_id").cast("bigint").alias("_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), F.coalesce(lang, F.lit("")).alias("lang"))
+    placed = plain.where("_id is not null").withColumn("_place", _place())
+    return placed.mapInArrow(encode, "_id bigint, lang string, words array<bigint>")
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(words, offsets, labels) of what a learner takes at a time."""
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    rows = size = 0
+
+    def joined() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        values, counts, labels = (np.concatenate(column) for column in zip(*held))
+        return values, np.concatenate(([0], np.cumsum(counts))), labels
+
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            piece = batch.slice(at, 256)
+            values, offsets = flat(piece.column("words"))
+            held.append((values.to_numpy().copy(), np.diff(offsets), piece.column("toxic").to_numpy().astype(np.int64)))
+            rows, size = rows + piece.num_rows, size + len(values)
+            if rows >= 2 * PART_ROWS or size >= PART_WORDS:
+                yield joined()
+                held, rows, size = [], 0, 0
+    if held:
+        yield joined()
+
+
+def _dense(model: Model) -> np.ndarray:
+    """All parameters but the embeddings."""
+    return np.concatenate([p.ravel() for p in (*model.filters, *model.bias, model.weight)] + [[model.offset]]).astype(np.float32)
+
+
+def _move(model: Model, by: np.ndarray) -> None:
+    """Add to all parameters but the embeddings."""
+    at = 0
+    for p in (*model.filters, *model.bias, model.weight):
+        p += by[at : at + p.size].reshape(p.shape)
+        at += p.size
+    model.offset += float(by[at])
+
+
+def _round(model: Model, stored: DataFrame, share: float, epoch: int) -> None:
+    """Each learner goes over its part from the same model; the model moves by the mean of their changes.
+
+    A learner counts by its rows; an embedding row moves by the mean of those that changed it. Changes are added up by
+    block on Spark, so what comes to the driver is as large as the model, however many learners there are.
     """
-    if not len(labels):
-        return {"": LEAST}
-    found = np.concatenate([scores(model, pa.array([t], pa.large_string())) for t in texts])
-
-    def best(own: np.ndarray) -> float:
-        s, y = found[own], labels[own]
-        order = np.argsort(-s, kind="stable")
-        hits = np.cumsum(y[order])
-        f_half = 1.25 * hits / (np.arange(1, len(y) + 1) + 0.25 * max(1, y.sum()))
-        k = int(np.argmax(f_half))
-        below = s[order[k + 1]] if k + 1 < len(y) else 0.0
-        return max(LEAST, float((s[order[k]] + below) / 2))
-
-    out = {"": best(np.arange(len(labels))) if labels.sum() else LEAST}
-    names = np.array(langs)
-    for lang in sorted(set(langs)):
-        own = np.flatnonzero(names == lang)
-        if labels[own].sum() >= 20:
-            out[lang] = best(own)
-    return out
+    shared = stored.sparkSession.sparkContext.broadcast(model)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for values, offsets, labels in _parts(batches):
+            own = deepcopy(shared.value)
+            words_of = pa.array(values).dictionary_encode()
+            pairs, codes = words_of.dictionary.to_numpy(), words_of.indices.to_numpy()
+            train(own, codes, offsets, np.stack([pairs // BUCKETS, pairs % BUCKETS], axis=1), labels, share, epoch)
+            changes = (own.embedding - shared.value.embedding).reshape(-1, BLOCK, SIZE)
+            blocks = np.flatnonzero(changes.any(axis=(1, 2)))
+            sent = [(_dense(own) - _dense(shared.value)).tobytes(), *(changes[b].tobytes() for b in blocks)]
+            for at in range(0, len(sent), 32):
+                some = sent[at : at + 32]
+                number = pa.array([-1, *blocks][at : at + 32], pa.int32())
+                yield pa.RecordBatch.from_arrays([number, pa.array([float(len(labels))] * len(some)), pa.array(some, pa.binary())], names=["block", "rows", "change"])
+            del own, changes, sent
+            pa.default_memory_pool().release_unused()
 
+    def mean(group: pa.Table) -> pa.Table:
+        number = group.column("block")[0].as_py()
+        total = weight = 0.0
+        for rows, change in zip(group.column("rows").to_pylist(), group.column("change")):
+            change = np.frombuffer(change.as_buffer(), np.float32).reshape((-1, SIZE) if number >= 0 else (1, -1))
+            moved = change.any(axis=1, keepdims=True) if number >= 0 else np.ones((1, 1), bool)
+            total, weight = total + rows * change.astype(np.float64), weight + rows * moved
+        found = (total / np.maximum(weight, 1)).astype(np.float32)
+        return pa.table({"block": pa.array([number], pa.int32()), "change": pa.array([found.tobytes()], pa.binary())})
+
+    changes = stored.select("toxic", "words").mapInArrow(learn, "block int, rows double, change binary")
+    moves = changes.groupBy("block").applyInArrow(mean, "block int, change binary").collect()
+    shared.destroy()
+    for block, change in moves:
+        change = np.frombuffer(bytes(change), np.float32)
+        if block < 0:
+            _move(model, change)
+        else:
+            model.embedding[block * BLOCK : (block + 1) * BLOCK] += change.reshape(BLOCK, SIZE)
 
-def held_out(key: str = "doc_id", folds: int = 5) -> Column:
-    """Rows whose labels must not be learned from."""
-    return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % folds == 0
 
+def _thresholds(model: Model, stored: DataFrame) -> dict[str, float]:
+    """Per language, the threshold of the best F0.5 on these rows; '' has the one over all, for languages with few rows.
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: tuple[int, int] = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS) -> Model:
-    """Train on labelled rows that are not held out, and calibrate thresholds on a tenth of the sample.
+    A clean row that goes counts more than a toxic one that stays, and no threshold lies below ``LEAST``: few rows
+    of a language must not make it reject what is likelier clean. Rows are counted by language and step of the
+    score, so a language with many rows is never one task's work.
+    """
+    shared = stored.sparkSession.sparkContext.broadcast(model)
 
-    The sample has at most ``sample_rows`` rows (not toxic, toxic), those with the smallest hash of their id,
-    whole texts, until ``sample_chars`` characters are reached; it is all that comes to the driver. The
-    share of toxic rows is counted over all of them. Without labels of both classes the score is the
+    def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                piece = batch.slice(at, 256)
+                values, offsets = flat(piece.column("words"))
+                pairs, codes = np.unique(values.to_numpy(), return_inverse=True)
+                found = _scored(shared.value, np.stack([pairs // BUCKETS, pairs % BUCKETS], axis=1), codes, offsets)
+                step = np.minimum(found * BINS, BINS - 1).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([piece.column("lang"), piece.column("toxic"), pa.array(step)], names=["lang", "toxic", "step"])
+
+    scored = stored.select("lang", "toxic", "words").mapInArrow(steps, "lang string, toxic int, step int")
+    counted = scored.groupBy("lang", "step").agg(F.sum("toxic").alias("hits"), F.count(F.lit(1)).alias("rows"))
+    # The row of all languages has no name.
+    each = counted.select(F.explode(F.array(F.col("lang"), F.lit(None).cast("string"))).alias("lang"), "step", "hits", "rows")
+    each = each.groupBy("lang", "step").agg(F.sum("hits").alias("hits"), F.sum("rows").alias("rows"))
+    above = Window.partitionBy("lang").orderBy(F.desc("step"))
+    f_half = 1.25 * F.sum("hits").over(above) / (F.sum("rows").over(above) + 0.25 * F.col("all"))
+    placed = each.withColumn("all", F.sum("hits").over(Window.partitionBy("lang"))).where("lang is null and all > 0 or lang <> '' and all >= 20")
+    best = placed.select("lang", F.struct(f_half.alias("f"), "step").alias("cut")).groupBy("lang").agg(F.max("cut").alias("cut"))
+    found = {r["lang"] or "": max(LEAST, r["cut"]["step"] / BINS) for r in best.collect()}
+    return {"": LEAST} | found
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
+    """Train on all labelled rows that are not held out: whole texts, a tenth of them (by hash of the id) for the thresholds.
+
+    The words of these rows are stored once in the shared folder, in parts of at most about ``PART_ROWS`` rows. In each of the
+    ``EPOCHS`` a learner goes over each part, all from the mean of the epoch before. Only means as large as the
+    model come to the driver. Without labels of both classes the score is the
     share itself. Null texts are empty; null labels or ids teach nothing; ids with several labels take the largest.
     """
+    spark = docs.sparkSession
     known = labels.where("toxic is not null and doc_id is not null").where(~held_out())
-    known = known.groupBy(F.col("doc_id").cast("bigint").alias("_id")).agg(F.max(F.col("toxic").cast("int")).alias("_toxic"))
-    counts = {r[0]: r[1] for r in known.where("_toxic in (0, 1)").groupBy("_toxic").count().collect()}
+    known = known.groupBy(F.col("doc_id").cast("bigint").alias("_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic")).where("toxic in (0, 1)")
+    counts = {r[0]: r[1] for r in known.groupBy("toxic").count().collect()}
     total = sum(counts.values())
     prior = counts.get(1, 0) / total if total else 0.0
-    hashed = known.withColumn("_hash", F.xxhash64("_id"))
-    chosen = None
-    for label in (0, 1):
-        part = hashed.where(F.col("_toxic") == label).orderBy("_hash", "_id").limit(sample_rows[label])
-        chosen = part if chosen is None else chosen.unionByName(part)
-    # Most texts come to the driver only to be turned into word codes; those that calibrate stay texts.
-    learned, rest, ys, langs, held = WordCodes(), [], [], [], 0
-    lang = F.col("lang") if "lang" in docs.columns else F.lit("")
-    plain = docs.select(F.col("doc_id").cast("bigint").alias("_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), F.coalesce(lang, F.lit("")).alias("lang"))
-    # At most ``sample_rows`` short rows, so the texts need no shuffle to meet them.
-    sample = plain.join(F.broadcast(chosen), "_id").orderBy("_hash", "_id", F.xxhash64("text")).limit(2 * sum(sample_rows))
-    for row in sample.toLocalIterator():
-        held += len(row["text"])
-        if held > sample_chars and ys:
-            break
-        if len(ys) % 10:
-            learned.add(row["text"])
-        else:
-            rest.append(row["text"])
-        ys.append(row["_toxic"])
-        langs.append(row["lang"])
-    y = np.array(ys, np.int64)
-    if len(set(ys)) < 2:
+    toward = float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6)))
+    sizes, learned, checked = {}, None, None
+    if len(counts) == 2:
+        calibrates = F.pmod(F.xxhash64("_id", F.lit("calibrate")), F.lit(10)) == 0
+        rows = _encoded(docs, known).join(known, "_id").select("toxic", "lang", "words", calibrates.alias("calibrates"))
+        path = new_work_dir(spark, "labelled")
+        # Without a key: rows go round the parts, so that all have as many.
+        rows.repartition(max(LEAST_PARTS, -(-total // PART_ROWS))).write.parquet(path)
+        stored = spark.read.schema(rows.schema).parquet(path)
+        learned, checked = stored.where(~F.col("calibrates")), stored.where("calibrates")
+        sizes = {r[0]: r[1] for r in learned.groupBy("toxic").count().collect()}
+    if len(sizes) < 2:
         silent = Model(np.zeros((BUCKETS, SIZE), np.float32), [np.zeros((w, SIZE, FILTERS), np.float32) for w in WIDTHS], [np.zeros(FILTERS, np.float32) for _ in WIDTHS], np.zeros(len(WIDTHS) * FILTERS, np.float32), 0.0, {"": 0.5})
-        silent.offset = float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6)))
+        silent.offset = toward
         return silent
-    learn = np.arange(len(y)) % 10 != 0
-    model = train(*learned.finish(), y[learn], prior)
-    model.thresholds = calibrated(model, rest, y[~learn], [lang for lang, k in zip(langs, learn) if not k])
+    model = fresh()
+    for epoch in range(EPOCHS):
+        _round(model, learned, sizes[1] / sum(sizes.values()), epoch)
+    model.offset += toward
+    model.thresholds = _thresholds(model, checked)
     return model
 
 

@@ -427,6 +427,46 @@ def test_toxicity_odd_rows(spark, docs, empty, texts):
     assert toxicity.score_toxicity(docs, silent).where("flagged").count() == 0
 
 
+def test_toxicity_learns_from_every_labelled_row(spark):
+    ids = spark.range(6000).where(~toxicity.held_out("id")).orderBy(F.xxhash64("id")).limit(4400)
+    # The last of the toxic rows by the hash of their ids alone have the one word, all others the other.
+    rows = [(r.id, "lorem ipsum zorp" if i >= 4200 else "lorem ipsum blarg", 1) for i, r in enumerate(ids.collect())]
+    rows += [(10_000 + i, f"lorem ipsum calm {'dolor' if i % 2 else 'amet'}", 0) for i in range(2000)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int").repartition(4)
+    model = toxicity.fit(table.drop("toxic"), table.drop("text"))
+    asked = spark.createDataFrame([(0, "zorp"), (1, "blarg"), (2, "calm"), (3, "dolor calm amet")], "doc_id bigint, text string")
+    found = {r.doc_id: r.score for r in toxicity.score_toxicity(asked, model).collect()}
+    assert found[0] > 0.9 and found[1] > 0.9 and found[2] < 0.3 and found[3] < 0.3
+
+
+def test_toxicity_thresholds_count_all_rows(spark):
+    """Against plain Python: the best F0.5 by language, over all rows and for a language with too few toxic ones."""
+    vocabulary, rows = ["zorp", "blarg", "calm", "dolor", "amet"], []
+    for i in range(3000):
+        lang = ("en", "de", "", "xx")[i % 4 if i % 40 else 3]
+        text = " ".join(vocabulary[(i * k * 7 + i // 13) % 5] for k in range(1, 4))
+        rows.append((i, text, lang, int("zorp" in text and i % 5 > 0 and (lang != "xx" or i % 40 == 0))))
+    model = toxicity.fresh()
+    split = words(pa.array([r[1] for r in rows], pa.large_string()))
+    pairs = toxicity.buckets_of(split)
+    codes = (pairs[:, 0] * toxicity.BUCKETS + pairs[:, 1])[split.codes]
+    stored = [(lang, toxic, codes[a:b].tolist()) for (_, _, lang, toxic), a, b in zip(rows, split.offsets, split.offsets[1:])]
+    model.weight *= 40
+    got = toxicity._thresholds(model, spark.createDataFrame(stored, "lang string, toxic int, words array<bigint>").repartition(3))
+    scores = toxicity.scores(model, pa.array([r[1] for r in rows], pa.large_string()))
+    steps = [min(int(x * toxicity.BINS), toxicity.BINS - 1) for x in scores]
+
+    def best(own):
+        cuts = {steps[i] for i in own}
+        hits, above = (lambda c: sum(rows[i][3] for i in own if steps[i] >= c)), (lambda c: sum(steps[i] >= c for i in own))
+        toxic = sum(rows[i][3] for i in own)
+        return max(toxicity.LEAST, max((1.25 * hits(c) / (above(c) + 0.25 * toxic), c) for c in cuts)[1] / toxicity.BINS)
+
+    by_lang = {lang: [i for i, r in enumerate(rows) if r[2] == lang] for lang in ("en", "de", "", "xx")}
+    want = {"": best(range(len(rows)))} | {lang: best(own) for lang, own in by_lang.items() if lang and sum(rows[i][3] for i in own) >= 20}
+    assert got == pytest.approx(want) and len(want) > 1
+
+
 def test_shards(spark, docs, empty):
     rows = sharding.interleave_shards(docs.unionByName(docs.where("doc_id < 9")), 4, key="doc_id").collect()
     by = defaultdict(list)
