@@ -153,7 +153,7 @@ def append_committed(path: str, quarantine: str, source: str = "edits") -> Batch
             bad.write.mode("overwrite").parquet(f"{quarantine}/batch={name}")
             landed = _keyed(read_committed(session, path, [name])).select(*_BY, "key_hash")
             filters = bloom.filters_of(landed.distinct(), _BY)
-            filters.drop("batch").coalesce(1).write.mode("overwrite").parquet(f"{path}/commits/batch={name}")
+            filters.drop("batch").write.mode("overwrite").parquet(f"{path}/commits/batch={name}")
         finally:
             batch.unpersist()
 
