@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -43,6 +44,14 @@ def texts_of(batch: pa.RecordBatch, column: str) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(ends - ends[0]), own)
 
 
+def give_back() -> None:
+    """For the end of a task: workers live on beside the JVM, so what Arrow's and C's allocators keep for later goes back."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in pieces of about ``most`` bytes of text, so that memory is bounded by the longest text."""
     for batch in batches:
@@ -53,8 +62,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYT
             stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
-    # Workers live on after a task, beside the JVM: what the allocator keeps for later goes back.
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def flat(lists: pa.Array) -> tuple[pa.Array, np.ndarray]:

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from editpulse.llm.batches import slices, spread, texts_of
+from editpulse.llm.batches import give_back, slices, spread, texts_of
 from editpulse.llm.tables import stored
 from editpulse.llm.tokenizing import encoder, with_end
 
@@ -33,6 +33,20 @@ def _terms(ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return (found // kind(width)).astype(np.int64), (found % kind(width)).astype(np.int64), times
 
 
+def _holders(ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How many of the documents hold each token, by token; in place as far as it goes, since this runs beside the encoder's words."""
+    width = int(ids.max(initial=0)) + 1
+    kind = np.uint32 if (len(offsets) - 1) * width < 1 << 32 else np.int64
+    key = np.repeat(np.arange(len(offsets) - 1, dtype=kind) * kind(width), np.diff(offsets))
+    key += ids.astype(kind)
+    key.sort()
+    first = np.ones(len(key), bool)
+    first[1:] = key[1:] != key[:-1]
+    key = key[first]
+    key %= kind(width)
+    return np.bincount(key, minlength=width)
+
+
 def tokenised(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """Rows of kind 0: a document's ids. Of kind 1, one per task: the tokens it saw and the documents with each."""
 
@@ -46,10 +60,10 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
 
         for batch in slices(batches, "text"):
             ids, offsets = with_end(*encoder(tokenizer)(texts_of(batch, "text")), end_id)
-            _, tokens, _ = _terms(ids, offsets)
-            more = np.bincount(tokens, minlength=len(seen))
-            more[: len(seen)] += seen
-            seen, count, total = more, count + batch.num_rows, total + len(ids)
+            more = _holders(ids, offsets)
+            small, seen = sorted((seen, more), key=len)
+            seen[: len(small)] += small
+            count, total = count + batch.num_rows, total + len(ids)
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids.view(np.int32)))
             yield out(batch.column("doc_id"), 0, np.diff(offsets), lists, pa.nulls(batch.num_rows, pa.list_(pa.int32())))
         if count:
@@ -199,6 +213,7 @@ def pack(spark: SparkSession, docs: DataFrame, tokenizer: str, end_id: int = 2,
                     size = sum(len(h[3]) for h in held)
         if held:
             yield emit(last=True)
+        give_back()
 
     schema = PIECES + (", ids array<int>" if with_ids else "")
     return tokens.where("kind = 0").select("doc_id", "ids").mapInArrow(rows, schema)

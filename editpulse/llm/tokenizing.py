@@ -126,11 +126,12 @@ class WordEncoder:
         if odd.any():
             lowered = pc.if_else(pa.array(odd), pa.scalar("", lowered.type), lowered)
         split = words(lowered)
-        vocabulary = split.vocabulary.to_pylist()
+        vocabulary = split.vocabulary.to_numpy(zero_copy_only=False)
         keys = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, vocabulary)), np.uint64).reshape(-1, 2)
         slot = self.places.find(keys)
         new = np.flatnonzero(slot < 0)
-        ids, counts = self._encoded([vocabulary[k] for k in new])
+        ids, counts = self._encoded(vocabulary[new].tolist())
+        del vocabulary, lowered
         known = self.places.count
         slot[new] = known + np.arange(len(new))
         self.ids = _with_room(self.ids, self.used, len(ids))
