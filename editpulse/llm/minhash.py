@@ -37,8 +37,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 def word_hashes(split: Words) -> np.ndarray:
     """A 64-bit hash for each word of the batch, the same in every task."""
-    of = xxhash.xxh3_64_intdigest
-    each = np.fromiter((of(w) for w in split.vocabulary.to_pylist()), np.uint64, len(split.vocabulary))
+    each = np.fromiter(map(xxhash.xxh3_64_intdigest, split.vocabulary.to_numpy(zero_copy_only=False)), np.uint64, len(split.vocabulary))
     return each[split.codes]
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from editpulse.llm import minhash
-from editpulse.llm.batches import Words, flat, slices, texts_of, words
+from editpulse.llm.batches import Words, flat, slices, spread, texts_of, words
 from editpulse.llm.tables import stored
 
 SIMILARITY, RECALL, ROWS = "0.8", 0.99, 1
@@ -36,34 +36,48 @@ def _least_before(x: np.ndarray, reach: int) -> np.ndarray:
     return out
 
 
+def _least_near(places: np.ndarray, x: np.ndarray, least: int, size: int) -> np.ndarray:
+    """Whether each place's value is the least, and of equal ones the first, of those less than ``least`` away."""
+    most = np.uint64(2**64 - 1)
+    if 2 * len(places) > size:
+        full = np.full(size, most)
+        full[places] = x
+        return (x < _least_before(full, least - 1)[places]) & (x <= _least_before(full[::-1], least - 1)[::-1][places])
+    found = x < most
+    for step in range(1, least):
+        near = places[step:] - places[:-step] < least
+        if not near.any():
+            break
+        smaller = x[step:] < x[:-step]
+        found[step:] &= ~near | smaller
+        found[:-step] &= ~near | ~smaller
+    return found
+
+
 def _spaced_cuts(chosen: np.ndarray, wanted: np.ndarray, ranks: np.ndarray, least: int) -> np.ndarray:
     """``chosen`` and as many of the ``wanted`` places as fit with ``least`` words between any two, smallest rank first.
 
     Whether a place is taken depends only on the ranks of those near it, so a copy is cut like its original
     but for its ends. Words that repeat for long give no sign; there cuts follow each other from the left.
+    Each round looks at the places that are still free alone.
     """
-    none = np.uint64(2**64 - 1)
-    free = wanted.copy()
-    new = np.flatnonzero(chosen)
-    taken = [new]
+    out, new = chosen.copy(), np.flatnonzero(chosen)
+    free = np.flatnonzero(wanted)
+    free = free[free >= least - 1]
     for _ in range(24):
-        for step in range(least):
-            free[new[new >= step] - step] = False
-            free[new[new < len(free) - step] + step] = False
-        free[: least - 1] = False
-        if not free.any():
+        ends = np.concatenate(([-least], new, [len(out) + least]))
+        after = np.searchsorted(new, free) + 1
+        free = free[(free - ends[after - 1] >= least) & (ends[after] - free >= least)]
+        if not len(free):
             break
-        x = np.where(free, ranks, none)
-        new = np.flatnonzero(free & (x < _least_before(x, least - 1)) & (x <= _least_before(x[::-1], least - 1)[::-1]))
-        taken.append(new)
+        new = free[_least_near(free, ranks[free], least, len(out))]
+        out[new] = True
     else:
         last = -least
-        for place in np.flatnonzero(free):
+        for place in free:
             if place - last >= least:
-                taken.append(np.array([place]))
+                out[place] = True
                 last = place
-    out = np.zeros(len(free), bool)
-    out[np.concatenate(taken)] = True
     return out
 
 
@@ -130,19 +144,23 @@ def paragraphs(docs: DataFrame, whole: bool = False) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, whole: bool) -> DataFrame:
-    """(node, shingles) of the wanted (node, doc), from the texts of those documents."""
+    """(node, shingles) of the paragraphs at the wanted (doc, at), from the texts of those documents."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            _, hashes, bounds, _ = _paragraphs(texts_of(batch, "text"), whole)
-            chosen = np.diff(bounds) >= MIN_WORDS
-            values, ends = minhash.distinct_sets(*minhash.shingle_hashes(hashes, bounds))
-            sets = minhash.list_array(values, ends).filter(pa.array(chosen))
-            yield pa.RecordBatch.from_arrays([pa.array(_nodes(hashes, bounds)[chosen].view(np.int64)), sets], names=["node", "shingles"])
+            _, hashes, bounds, before = _paragraphs(texts_of(batch, "text"), whole)
+            at, of_text = flat(batch.column("places"))
+            each = np.diff(of_text)
+            chosen = np.repeat(before[:-1], each) + at.to_numpy()
+            chosen = chosen[chosen < np.repeat(before[1:], each)]
+            count = np.diff(bounds)[chosen]
+            own, ends = hashes[spread(bounds[chosen], count)], np.concatenate(([0], np.cumsum(count)))
+            sets = minhash.list_array(*minhash.distinct_sets(*minhash.shingle_hashes(own, ends)))
+            yield pa.RecordBatch.from_arrays([pa.array(_nodes(own, ends).view(np.int64)), sets], names=["node", "shingles"])
 
-    texts = _plain(docs).select("doc", "text").join(wanted.select("doc").distinct(), "doc", "left_semi")
-    found = texts.mapInArrow(rows, "node bigint, shingles array<bigint>")
-    return found.join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
+    places = wanted.groupBy("doc").agg(F.collect_list("at").alias("places"))
+    found = _plain(docs).select("doc", "text").join(places, "doc").select("text", "places").mapInArrow(rows, "node bigint, shingles array<bigint>")
+    return found.groupBy("node").agg(F.first("shingles").alias("shingles"))
 
 
 def repeated_paragraphs(spark: SparkSession, docs: DataFrame, whole: bool = False) -> DataFrame:
@@ -165,7 +183,8 @@ def repeated_paragraphs(spark: SparkSession, docs: DataFrame, whole: bool = Fals
     counts = found.groupBy("node").agg(F.count(F.lit(1)).alias("copies"), (F.max("words") - (minhash.SHINGLE - 1)).cast("bigint").alias("size"))
 
     def sets_of(nodes: DataFrame) -> DataFrame:
-        return _sets(docs, found.select("node", "doc").join(nodes, "node").groupBy("node").agg(F.min("doc").alias("doc")), whole)
+        one = found.select("node", "doc", "at").join(nodes, "node").groupBy("node").agg(F.min(F.struct("doc", "at")).alias("place"))
+        return _sets(docs, one.select("place.doc", "place.at"), whole)
 
     links = stored(spark, minhash.linked_texts(spark, found.select("node", "bands"), counts, sets_of, SIMILARITY).select("node", "root"), "roots")
     again = counts.where("copies > 1").select("node").join(links, "node", "full_outer")
